@@ -16,6 +16,7 @@ from citeweave.operators.graph import (
     reference_frontier,
 )
 from citeweave.operators.search import SEARCH_CAP, journal_lookup, search_works
+from citeweave.sources.tables import staged
 from citeweave.sources.works_json import DEFAULT_FIELDS, flatten_works
 
 
@@ -40,7 +41,8 @@ def acquire(snapshot: DataFrame, requests: DataFrame, held: DataFrame,
     ``(doi, id_OpenAlex)`` of what was landed before.
     """
     hits = search_works(snapshot, requests, cap).select("id_OpenAlex", "doi")
-    wanted = novel_candidates(hits, held)
+    # Written out: both results start from these ids, and the search is not run twice.
+    wanted = staged(novel_candidates(hits, held), "wanted")
     found = lookup(snapshot, wanted, key="id", ids_column="id_OpenAlex")
     frontier = reference_frontier(citation_edges(found, "id", "referenced_works"), held_references)
     referenced = lookup(snapshot, frontier, key="id")

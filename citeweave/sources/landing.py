@@ -129,7 +129,10 @@ def journal_folders(root: str, journal: str) -> list[str]:
 
 
 def known_ids(spark: SparkSession, root: str, *, multi_line: bool = True) -> DataFrame:
-    """Distinct ``(doi, id_OpenAlex)`` of every CSV below ``root``, at any depth."""
+    """Distinct ``(doi, id_OpenAlex)`` of every CSV below ``root``, at any depth.
+
+    All of them have one header; another one is an error.
+    """
     cells = read_text_cells(spark, [root], multi_line=multi_line, recursive=True)
     return type_cells(cells, KNOWN_IDS).select(*KNOWN_IDS.names).distinct()
 

@@ -35,7 +35,7 @@ SELECT '{WORK}' || o_orderkey AS id_OpenAlex, '10.5555/' || o_orderkey AS doi, d
 
 
 def acquired(spark, sf_dir):
-    snapshot = nested_works(spark, sf_dir)
+    snapshot = staged(nested_works(spark, sf_dir), "snapshot")
     works = orders(spark, sf_dir)
     journals = works.select(F.concat(F.lit(JOURNAL), F.substring("o_orderpriority", 1, 1)).alias("id"),
                             F.col("o_orderpriority").alias("display_name")).distinct()
@@ -79,7 +79,7 @@ reached AS (SELECT id, 1 AS hop FROM h1 UNION ALL SELECT id, 2 FROM h2)
 def expand_works(spark, sf_dir):
     seed = orders(spark, sf_dir).where("o_orderpriority = '1-URGENT'").select(
         work_id("o_orderkey").alias("id_OpenAlex"))
-    reached = expand(nested_works(spark, sf_dir), seed, hops=2)
+    reached = expand(staged(nested_works(spark, sf_dir), "snapshot"), seed, hops=2)
     return reached.select("id_OpenAlex", "doi", "title", "citation_count_OpenAlex", "abstract_OpenAlex",
                           F.col("source.name").alias("journal"), "hop")
 

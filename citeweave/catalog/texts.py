@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from citeweave.catalog.registry import query, table
 from citeweave.catalog.standins import doi, orders, with_documents, work_id
 from citeweave.functions import abstracts, embedding, ids, text
-from citeweave.plans.features import add_title_abstract
+from citeweave.plans import features as plan
 
 CLEANED = r"trim(regexp_replace(translate(lower({0}), '()[]{{}}', '      '), '\s+', ' ', 'g'))"
 
@@ -27,7 +27,7 @@ FROM orders LEFT JOIN documents d ON o_orderkey = d.doc_id
 WHERE trim(coalesce(d.source, '') || ' ' || coalesce(d.text, '')) <> ''""")
 def title_abstract(spark, sf_dir):
     works = with_documents(spark, sf_dir).select("o_orderkey", "doc_source", "text")
-    return add_title_abstract(works, "doc_source", "text").select("o_orderkey", "title_abstract")
+    return plan.add_title_abstract(works, "doc_source", "text").select("o_orderkey", "title_abstract")
 
 
 @query("SELECT doc_id, text AS abstract_text FROM documents")
@@ -88,7 +88,8 @@ WITH words AS (
 
 
 def embedded(spark, sf_dir):
-    return documents(spark, sf_dir).select("doc_id", embedding.embed_text(F.col("text")).alias("embedding"))
+    return plan.embedded(documents(spark, sf_dir).select("doc_id", "text"), embedding.HashingEncoder,
+                         key="doc_id", text="text").drop("text")
 
 
 @query(f"{HASHED} SELECT doc_id, dim, weight FROM hashed")

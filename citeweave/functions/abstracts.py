@@ -42,12 +42,20 @@ def deinvert_abstract(index: Column) -> Column:
 
         return F.when(F.size(words) > 0, F.array_join(F.transform(words, with_gap), ""))
 
-    return bind(F.array_sort(occurrences), lambda words: bind(last_per_position(words), spaced))
+    def text(words: Column) -> Column:
+        # One word at every position, as nearly always: no need to look at neighbours.
+        places = words["at"]
+        dense = ((F.size(F.array_distinct(places)) == F.size(words))
+                 & (F.try_element_at(places, F.lit(-1)) == F.size(words) - 1))
+        return F.when(dense, F.array_join(words["word"], " ")).otherwise(
+            bind(last_per_position(words), spaced))
+
+    return bind(F.sort_array(occurrences), text)
 
 
 def invert_text(text: Column) -> Column:
     """Inverted index of a text split at single spaces (the inverse of the above)."""
-    occurrences = F.array_sort(F.transform(
+    occurrences = F.sort_array(F.transform(
         F.split(text, " ", -1),
         lambda word, at: F.struct(word.alias("word"), at.alias("at")),
     ))

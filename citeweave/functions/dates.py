@@ -13,10 +13,18 @@ LAST_DAY = dt.date(2262, 4, 11)
 NANOS_PER_DAY = 86_400_000_000_000
 
 
-def parse_day(text: Column) -> Column:
-    """Year-month-day text as a date; null for any other form, invalid or out of range day."""
-    day = F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.try_to_date(text, "y-M-d"))
-    return F.when(day.between(F.lit(FIRST_DAY), F.lit(LAST_DAY)), day)
+def written_as_day(text: Column) -> Column:
+    """Whether the text has the form year-month-day, month and day with one or two digits."""
+    return text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$")
+
+
+def day_of(text: Column) -> Column:
+    """The date of such a text, null if there is no such day."""
+    return text.try_cast("date")
+
+
+def in_range(day: Column) -> Column:
+    return day.between(F.lit(FIRST_DAY), F.lit(LAST_DAY))
 
 
 def year_of(day: Column) -> Column:

@@ -26,6 +26,20 @@ class Encoder(Protocol):
         """One float32 row of width ``dim`` for each text."""
 
 
+class _Buckets(dict):
+    """Word -> bucket, worked out on first sight and remembered up to a bound."""
+
+    def __init__(self, dim: int, most: int = 500_000):
+        self._dim, self._most = dim, most
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= self._most:
+            self.clear()
+        bucket = int(hashlib.md5(word.encode("utf-8")).hexdigest()[:8], 16) % self._dim
+        self[word] = bucket
+        return bucket
+
+
 class HashingEncoder:
     """Deterministic bag of hashed words, scaled to length one.
 
@@ -35,16 +49,13 @@ class HashingEncoder:
 
     def __init__(self, dim: int = EMBEDDING_WIDTH):
         self.dim = dim
-        self._bucket = functools.lru_cache(maxsize=200_000)(self._hash)
-
-    def _hash(self, word: str) -> int:
-        return int(hashlib.md5(word.encode("utf-8")).hexdigest()[:8], 16) % self.dim
+        self._bucket_of = _Buckets(dim)
 
     def encode(self, texts: list[str]) -> np.ndarray:
         counts = np.zeros((len(texts), self.dim))
         for row, text in enumerate(texts):
-            buckets = [self._bucket(word) for word in text.split()]
-            counts[row] = np.bincount(np.array(buckets, dtype=np.int64), minlength=self.dim)
+            buckets = np.fromiter(map(self._bucket_of.__getitem__, text.split()), dtype=np.int64)
+            counts[row] = np.bincount(buckets, minlength=self.dim)
         lengths = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
         return (counts / np.where(lengths == 0, 1.0, lengths)).astype(np.float32)
 

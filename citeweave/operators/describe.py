@@ -17,28 +17,34 @@ def _widened(lo: Column, hi: Column) -> tuple[Column, Column]:
             F.when(hi.isNull(), 1.0).when(lo == hi, hi + 0.5).otherwise(hi))
 
 
-def _bin(value: Column, lo: Column, hi: Column, bins: int) -> Column:
-    """Bin from 0; each is closed below and open above, the last closed on both ends."""
-    width = (hi - lo) / bins
-    guess = F.least(F.floor((value - lo) / width), F.lit(bins - 1))
-    # Division may land one bin off at an edge; the edges decide.
-    return (F.when(value < lo + guess * width, guess - 1)
-            .when((guess < bins - 1) & (value >= lo + (guess + 1) * width), guess + 1)
-            .otherwise(guess))
-
-
-def _numbers(frame: DataFrame, columns: Sequence[str]) -> dict[str, Column]:
-    return {c: F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")) for c in columns}
+def _numbers(columns: Sequence[str]) -> list[Column]:
+    return [F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")) for c in columns]
 
 
 def _ranges(frame: DataFrame, columns: Sequence[str]) -> Column:
     """Row count and value range of each column as a scalar subquery: one row, one scan."""
-    numbers = _numbers(frame, columns)
-    fields = [F.count("*").alias("n_rows")]
-    for i, column in enumerate(columns):
-        lo, hi = _widened(F.min(numbers[column]), F.max(numbers[column]))
-        fields += [lo.alias(f"lo_{i}"), hi.alias(f"hi_{i}")]
-    return frame.agg(F.struct(*fields).alias("ranges")).scalar()
+    ranges = []
+    for number in _numbers(columns):
+        lo, hi = _widened(F.min(number), F.max(number))
+        ranges.append(F.struct(lo.alias("lo"), hi.alias("hi")))
+    return frame.agg(F.struct(F.count("*").alias("n_rows"), F.array(*ranges).alias("of"))
+                     .alias("ranges")).scalar()
+
+
+def _with_bin(valued: DataFrame, bins: int) -> DataFrame:
+    """Adds ``bin``, from 0, to rows of ``value``, ``lo`` and ``hi``.
+
+    Each bin is closed below and open above, the last closed on both ends.
+    """
+    value, lo, width, guess = F.col("value"), F.col("lo"), F.col("width"), F.col("guess")
+    # Division may land one bin off at an edge; the edges decide.
+    placed = (F.when(value < lo + guess * width, guess - 1)
+              .when((guess < bins - 1) & (value >= lo + (guess + 1) * width), guess + 1)
+              .otherwise(guess))
+    return (valued.where("value IS NOT NULL")
+            .withColumn("width", (F.col("hi") - lo) / bins)
+            .withColumn("guess", F.least(F.floor((value - lo) / width), F.lit(bins - 1)))
+            .withColumn("bin", placed))
 
 
 def histograms(frame: DataFrame, columns: Sequence[str], bins: int = BINS) -> DataFrame:
@@ -49,21 +55,20 @@ def histograms(frame: DataFrame, columns: Sequence[str], bins: int = BINS) -> Da
     serve all of them, and no more than ``bins`` rows for each leave the tasks.
     """
     ranges = _ranges(frame, columns)
-    numbers = _numbers(frame, columns)
     cells = F.array(*[
-        F.struct(F.lit(i).alias("place"),
-                 _bin(numbers[c], ranges[f"lo_{i}"], ranges[f"hi_{i}"], bins).alias("bin"))
-        for i, c in enumerate(columns)])
-    counts = (frame.select(F.explode(cells).alias("cell")).select("cell.*")
-              .where("bin IS NOT NULL")
-              .groupBy("place", "bin").agg(F.count("*").alias("n")))
+        F.struct(F.lit(i).alias("place"), number.alias("value"))
+        for i, number in enumerate(_numbers(columns))])
+    placed = frame.select(F.explode(cells).alias("cell")).select(
+        "cell.*", F.get(ranges["of"], F.col("cell.place")).alias("range")).select(
+        "place", "value", "range.*")
+    counts = _with_bin(placed, bins).groupBy("place", "bin").agg(F.count("*").alias("n"))
     outlines = F.array(*[
         F.struct(F.lit(i).alias("place"), F.lit(c).alias("column_name"),
-                 ranges[f"lo_{i}"].alias("lo"), ranges[f"hi_{i}"].alias("hi"),
-                 ranges["n_rows"].alias("n_rows"))
+                 F.get(ranges["of"], F.lit(i)).alias("range"), ranges["n_rows"].alias("n_rows"))
         for i, c in enumerate(columns)])
     grid = (frame.sparkSession.range(bins).withColumnRenamed("id", "bin")
-            .select("bin", F.explode(outlines).alias("outline")).select("bin", "outline.*"))
+            .select("bin", F.explode(outlines).alias("outline")).select("bin", "outline.*")
+            .select("bin", "place", "column_name", "range.*", "n_rows"))
     width = (F.col("hi") - F.col("lo")) / bins
     # One row for each bin and column on either side: safe to broadcast.
     return grid.join(F.broadcast(counts), ["place", "bin"], "left").select(
@@ -83,14 +88,12 @@ def year_density(frame: DataFrame, column: str, year: str = "publication_year",
     bounded by years and bins.
     """
     ranges = _ranges(frame, [column])
-    number = _numbers(frame, [column])[column]
-    lo, hi = ranges["lo_0"], ranges["hi_0"]
-    return (frame
-            .select(F.col(year).alias("publication_year"), _bin(number, lo, hi, bins).alias("bin"))
-            .where("bin IS NOT NULL AND publication_year IS NOT NULL")
-            .groupBy("publication_year", "bin").agg(F.count("*").alias("n"))
-            .select("publication_year", "bin",
-                    (lo + F.col("bin") * ((hi - lo) / bins)).alias("bin_start"), "n"))
+    points = frame.where(F.col(year).isNotNull()).select(
+        F.col(year).alias("publication_year"), _numbers([column])[0].alias("value"),
+        F.get(ranges["of"], F.lit(0)).alias("range")).select("publication_year", "value", "range.*")
+    return (_with_bin(points, bins)
+            .groupBy("publication_year", "bin", (F.col("lo") + F.col("bin") * F.col("width")).alias("bin_start"))
+            .agg(F.count("*").alias("n")))
 
 
 def year_points(frame: DataFrame, column: str, year: str = "publication_year") -> DataFrame:

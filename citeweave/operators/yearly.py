@@ -6,7 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from citeweave.functions.dates import FIRST_DAY, LAST_DAY, epoch_nanos, parse_day, year_of
+from citeweave.functions.dates import (
+    FIRST_DAY,
+    LAST_DAY,
+    day_of,
+    epoch_nanos,
+    in_range,
+    written_as_day,
+    year_of,
+)
 
 # Steps per e-fold of the value scale that the median search first counts on.
 SCALE_STEPS = 1024
@@ -17,16 +25,16 @@ NO_VALUE = -(2**63)
 def parse_dates(works: DataFrame, column: str = "publication_date") -> DataFrame:
     """Text dates to dates with year and epoch nanoseconds; rows without a valid day are dropped."""
     return (works
-            .withColumn(column, parse_day(F.col(column)))
-            .where(F.col(column).isNotNull())
+            .where(written_as_day(F.col(column)))
+            .withColumn(column, day_of(F.col(column)))
+            .where(in_range(F.col(column)))
             .withColumns({"publication_year": year_of(F.col(column)),
                           "publication_date_int": epoch_nanos(F.col(column))}))
 
 
 def _calendar_year(year: Column) -> Column:
     """The year, which must lie in the range of valid days; so there are under 600 of them."""
-    fits = year.isNull() | year.between(FIRST_DAY.year, LAST_DAY.year)
-    return F.when(fits, year).otherwise(
+    return F.when(year.between(FIRST_DAY.year, LAST_DAY.year), year).otherwise(
         F.raise_error(F.concat(F.lit("year outside the range of dates: "), year.cast("string"))))
 
 
@@ -44,9 +52,8 @@ def median_per_year(works: DataFrame, value: str = "citation_count_OpenAlex",
     step of a fixed logarithmic scale, at most a few thousand a year in practice,
     locate the step that holds the middle ranks; only that step is ranked exactly.
     """
-    counted = (works
+    counted = (works.where(F.col(year).isNotNull())
                .select(_calendar_year(F.col(year)).alias("_year"), _number(F.col(value)).alias("_value"))
-               .where("_year IS NOT NULL")
                .groupBy("_year", "_value").agg(F.count("*").alias("_n"))
                .withColumn("_step", F.coalesce(
                    F.floor(F.signum("_value") * F.log1p(F.abs("_value")) * SCALE_STEPS),

@@ -30,18 +30,24 @@ def features(works: DataFrame) -> DataFrame:
     return add_title_abstract(add_yearly_stats(dated))
 
 
-def embedded(works: DataFrame, encoder: type[Encoder], *args, by_year: bool = False) -> DataFrame:
-    """Sorted by id, with the embedding of ``title_abstract``.
-
-    The range partitioning of the sort also spreads the encoder's work.
+def embedded(works: DataFrame, encoder: type[Encoder], *args, key: str = "id_OpenAlex",
+             text: str = "title_abstract", within: str | None = None,
+             partitions: int | None = None) -> DataFrame:
+    """Sorted by ``key``, with the embedding of ``text``.
+
+    The range partitioning of the sort also spreads the encoder's work, over
+    ``partitions`` tasks, by default the session's number of shuffle partitions:
+    texts are small next to the time a model takes for them, so their size is no
+    measure for the number of tasks.
     """
-    ordered = sort_by_id(works, within="publication_year" if by_year else None)
-    return ordered.withColumn("embedding", embed_text(F.col("title_abstract"), encoder, *args))
+    partitions = partitions or int(works.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = sort_by_id(works, key, within, partitions)
+    return ordered.withColumn("embedding", embed_text(F.col(text), encoder, *args))
 
 
 def feature_journal(spark: SparkSession, integrated_root: str, journal: str, out_root: str,
                     encoder: type[Encoder], *args, by_year: bool = False) -> None:
     works = features(read_table(spark, f"{integrated_root}/{journal}"))
-    write_table(embedded(works, encoder, *args, by_year=by_year),
-                f"{out_root}/{journal}/parquet", FEATURE_WORK,
-                partition_by="publication_year" if by_year else None)
+    partition_by = "publication_year" if by_year else None
+    write_table(embedded(works, encoder, *args, within=partition_by),
+                f"{out_root}/{journal}/parquet", FEATURE_WORK, partition_by)

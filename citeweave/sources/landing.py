@@ -42,10 +42,9 @@ def _present(cell: Column) -> Column:
 
 def _typed(cell: Column, kind: T.DataType) -> Column:
     """``cell`` in the contract's type; whole numbers may be written like ``12.0``."""
-    if isinstance(kind, (T.IntegerType, T.LongType)):
-        whole = cell.try_cast(kind)
-        number = cell.try_cast("double")
-        return F.coalesce(whole, F.when(number == F.floor(number), number).try_cast(kind))
+    if isinstance(kind, T.IntegerType):
+        number = cell.try_cast("double")  # holds every int exactly
+        return F.when(number == F.rint(number), number.try_cast(kind))
     return cell if isinstance(kind, T.StringType) else cell.try_cast(kind)
 
 

@@ -35,16 +35,18 @@ def cast_to_contract(frame: DataFrame, contract: T.StructType) -> DataFrame:
         *[F.col(f"`{name}`") for name in frame.columns if name not in named])
 
 
-def sort_by_id(frame: DataFrame, key: str = "id_OpenAlex",
-               within: str | None = None) -> DataFrame:
+def sort_by_id(frame: DataFrame, key: str = "id_OpenAlex", within: str | None = None,
+               partitions: int | None = None) -> DataFrame:
     """Global order by ``key`` (inside ``within``, if given) through range partitioning.
 
     Sorted files carry narrow minimum-maximum ranges, so a later filter on the
     key skips row groups.  ``within`` names the partition column of the sink: each
-    task then holds few of its values, and a large value is split by key.
+    task then holds few of its values, and a large value is split by key.  The
+    size of the data decides the number of partitions unless it is given.
     """
     keys = [within, key] if within else [key]
-    return frame.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    spread = frame.repartitionByRange(partitions, *keys) if partitions else frame.repartitionByRange(*keys)
+    return spread.sortWithinPartitions(*keys)
 
 
 def write_table(frame: DataFrame, path: str, contract: T.StructType | None = None,

@@ -40,7 +40,9 @@ def day_text(column: str = "o_orderdate", form: str = "yyyy-MM-dd") -> Column:
 
 def with_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", F.col("source").alias("doc_source"))
-    return orders(spark, sf_dir).join(documents, F.col("o_orderkey") == F.col("doc_id"), "left")
+    # The partitioning a shuffled join needs anyway; it also spreads the texts if Spark broadcasts.
+    works = orders(spark, sf_dir).repartition("o_orderkey")
+    return works.join(documents, F.col("o_orderkey") == F.col("doc_id"), "left")
 
 
 def flat_works(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ from citeweave.catalog.registry import query, table
 from citeweave.catalog.standins import doi, orders, with_documents, work_id
 from citeweave.functions import abstracts, embedding, ids, text
 from citeweave.plans import features as plan
+from citeweave.session import ship_package
 
 CLEANED = r"trim(regexp_replace(translate(lower({0}), '()[]{{}}', '      '), '\s+', ' ', 'g'))"
 
@@ -88,6 +89,7 @@ WITH words AS (
 
 
 def embedded(spark, sf_dir):
+    ship_package(spark)
     return plan.embedded(documents(spark, sf_dir).select("doc_id", "text"), embedding.HashingEncoder,
                          key="doc_id", text="text").drop("text")
 

@@ -84,7 +84,8 @@ def embed_text(text: Column, encoder: type[Encoder] = HashingEncoder, *args) ->
     """``array<float>`` per text; null for null.
 
     ``encoder(*args)`` is built in the Python worker, once for each, so weights
-    are never shipped with a task.
+    are never shipped with a task.  Spark may not move or repeat the expression:
+    a filter or an explode of the vectors would otherwise run the encoder twice.
     """
 
     @F.pandas_udf("array<float>")
@@ -102,7 +103,7 @@ def embed_text(text: Column, encoder: type[Encoder] = HashingEncoder, *args) ->
                     vectors[at] = vector
             yield pd.Series(vectors, index=texts.index, dtype=object)
 
-    return encode(text)
+    return encode.asNondeterministic()(text)
 
 
 def embedding_wide(frame: DataFrame, column: str = "embedding",

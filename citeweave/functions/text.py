@@ -6,18 +6,28 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The Unicode white space on which Python's str.split() breaks.
-WHITESPACE = r"\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0        "
+    "        　"
+)
 # Bracket characters turned into spaces.
 BRACKETS = "()[]{}"
 
 
+def _spaces_for(text: Column, characters: str) -> Column:
+    """Runs of the characters as one space, none at either end."""
+    # Translating first leaves the pattern nothing to do at single spaces.
+    spaced = F.translate(text, characters, " " * len(characters))
+    return F.trim(F.regexp_replace(spaced, " {2,}", " "))
+
+
 def collapse_whitespace(text: Column) -> Column:
-    return F.trim(F.regexp_replace(text, f"[{WHITESPACE}]+", " "))
+    return _spaces_for(text, WHITESPACE)
 
 
 def clean_text(text: Column) -> Column:
     """Lower case, brackets to spaces, white space collapsed; digits and punctuation stay."""
-    return collapse_whitespace(F.translate(F.lower(text), BRACKETS, " " * len(BRACKETS)))
+    return _spaces_for(F.lower(text), WHITESPACE + BRACKETS)
 
 
 def null_to_empty(value: Column) -> Column:

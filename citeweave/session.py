@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -62,3 +63,18 @@ def work_root(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path below the work folder that nothing has been written to."""
     return f"{work_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers, as ``--py-files`` does at submit."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="citeweave-zip-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    context.addPyFile(shutil.make_archive(f"{folder}/{package.name}", "zip", package.parent, package.name))
+    _shipped.add(context.applicationId)

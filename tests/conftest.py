@@ -8,9 +8,6 @@ import pytest
 
 ROOT = Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT))
-# Python workers import the package from here.
-os.environ["PYTHONPATH"] = os.pathsep.join(
-    [str(ROOT), *filter(None, [os.environ.get("PYTHONPATH")])])
 
 
 @pytest.fixture(scope="session")

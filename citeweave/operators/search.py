@@ -39,8 +39,10 @@ def cap_per_group(frame: DataFrame, group: Sequence[str], order: Sequence[str],
     thus sees at most ``CAP_PARTS * cap`` rows of it.  A row that is in the first
     ``cap`` of its group is in the first ``cap`` of its part: the outcome is exact.
     """
-    part = F.pmod(F.xxhash64(*order), F.lit(CAP_PARTS))
-    in_part = W.partitionBy(*group, "_part").orderBy(*order)
+    # One column for group and part: rows that already lie together by group would
+    # otherwise stay together.
+    part = F.struct(*group, F.pmod(F.xxhash64(*order), F.lit(CAP_PARTS)).alias("part"))
+    in_part = W.partitionBy("_part").orderBy(*order)
     in_group = W.partitionBy(*group).orderBy(*order)
     return (frame.withColumn("_part", part)
             .withColumn("_nth", F.row_number().over(in_part)).where(F.col("_nth") <= cap)

@@ -41,12 +41,15 @@ def sort_by_id(frame: DataFrame, key: str = "id_OpenAlex", within: str | None =
 
     Sorted files carry narrow minimum-maximum ranges, so a later filter on the
     key skips row groups.  ``within`` names the partition column of the sink: each
-    task then holds few of its values, and a large value is split by key.  The
-    size of the data decides the number of partitions unless it is given.
+    task then holds few of its values, and a large value is split by key.  Row
+    numbers close the ranges, so that a repeated key is split as well.  The size of
+    the data decides the number of partitions unless it is given.
     """
     keys = [within, key] if within else [key]
-    spread = frame.repartitionByRange(partitions, *keys) if partitions else frame.repartitionByRange(*keys)
-    return spread.sortWithinPartitions(*keys)
+    numbered = frame.withColumn("_row", F.monotonically_increasing_id())
+    ranges = [*keys, "_row"]
+    spread = numbered.repartitionByRange(partitions, *ranges) if partitions else numbered.repartitionByRange(*ranges)
+    return spread.sortWithinPartitions(*keys).drop("_row")
 
 
 def write_table(frame: DataFrame, path: str, contract: T.StructType | None = None,

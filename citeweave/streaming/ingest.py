@@ -27,11 +27,12 @@ def append_new(batch: DataFrame, target: str, key: str = "id_OpenAlex") -> None:
     The check against the target makes a repeated batch harmless, so a stream
     that runs a batch again after a failure adds nothing twice.
     """
-    fresh = drop_null_key(batch, key)
+    # First one row for each key, so that a frequent key does not load the join.
+    fresh = keep_first(drop_null_key(batch, key), key, ORIGIN).drop(*ORIGIN)
     held = held_keys(batch.sparkSession, target, key)
     if held is not None:
         fresh = fresh.join(held, key, "left_anti")
-    keep_first(fresh, key, ORIGIN).drop(*ORIGIN).write.mode("append").parquet(target)
+    fresh.write.mode("append").parquet(target)
 
 
 def ingest_landing(spark: SparkSession, landing: str, target: str, checkpoint: str,

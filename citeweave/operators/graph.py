@@ -27,6 +27,16 @@ def _distinct_keys(frame: DataFrame, column: str | Column, name: str) -> DataFra
     return frame.select(column.alias(name)).where(F.col(name).isNotNull()).distinct()
 
 
+def key_table(frame: DataFrame, column: str | Column, name: str) -> DataFrame:
+    """The distinct keys as a written table, for the right side of a semi- or anti-join.
+
+    Spark then knows their size: few of them are broadcast and the left side stays
+    where it is.  Beyond that the join is shuffled, and AQE may split a frequent key
+    of the left side, which it may not where the right side is still an aggregate.
+    """
+    return staged(_distinct_keys(frame, column, name), "keys")
+
+
 def reference_frontier(edges: DataFrame, known: DataFrame, known_id: str = "id_OpenAlex") -> DataFrame:
     """Ids that are referenced but not known, once each.
 
@@ -50,7 +60,7 @@ def novel_candidates(candidates: DataFrame, held: DataFrame) -> DataFrame:
     def without(frame: DataFrame, key: str, plain) -> DataFrame:
         others = [F.col(c) for c in candidates.columns]
         keyed = frame.withColumn("_key", _spread_nulls(plain(F.col(key)), *others))
-        return keyed.join(_distinct_keys(held, plain(F.col(key)), "_key"), "_key", "left_anti").drop("_key")
+        return keyed.join(key_table(held, plain(F.col(key)), "_key"), "_key", "left_anti").drop("_key")
 
     novel = without(candidates, "doi", normalize_doi)
     return without(novel, "id_OpenAlex", lambda column: column)
@@ -79,7 +89,7 @@ def lookup(snapshot: DataFrame, ids: DataFrame, by: str = "oaid", *, key: str |
     """
     key = key or _lookup_key(by)
     _lookup_key(by)
-    asked = _asked(ids, ids_column, by)
+    asked = staged(_asked(ids, ids_column, by), "keys")
     return (snapshot.withColumn("_asked", _match_key(by, F.col(key)))
             .join(asked, "_asked", "left_semi").drop("_asked"))
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from citeweave.functions.ids import last_segment
 from citeweave.functions.text import collapse_whitespace
+from citeweave.sources.tables import staged
 
 # Fixed value: most works one search (journal, year) returns.
 SEARCH_CAP = 1000
@@ -81,8 +82,10 @@ def search_works(works: DataFrame, requests: DataFrame, cap: int = SEARCH_CAP) -
     places = F.array_distinct(F.filter(
         F.transform("locations", lambda place: last_segment(place["source"]["id"])),
         lambda journal: journal.isNotNull()))
-    asked = requests.select(last_segment(F.col("journal_id")).alias("journal_id"),
-                            F.col("publication_year").cast("int").alias("publication_year")).distinct()
+    # Written out for the same reasons as the key tables of lookups.
+    asked = staged(requests.select(
+        last_segment(F.col("journal_id")).alias("journal_id"),
+        F.col("publication_year").cast("int").alias("publication_year")).distinct(), "requests")
     hits = (works
             .select(F.explode(places).alias("journal_id"), "publication_year",
                     F.col("id").alias("id_OpenAlex"), "doi")

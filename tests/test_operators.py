@@ -113,6 +113,39 @@ def test_lookup(spark):
         graph.lookup(snapshot, ids, by="isbn")
 
 
+@pytest.fixture
+def shuffled_joins(spark):
+    """No broadcasts, and skew handling for small data."""
+    small = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k"}
+    before = {k: spark.conf.get(k, None) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_frequent_keys_are_split(spark, shuffled_joins):
+    """A third of the rows have one key: the join is right and the key is spread over tasks."""
+    works = spark.range(0, 90_000, 1, 16).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).cast("string").alias("id_OpenAlex"),
+        F.when(F.col("id") % 3 != 1, F.concat(F.lit("10.1/"), F.col("id"))).alias("doi"),
+        F.sha2(F.col("id").cast("string"), 512).alias("rest"))
+    ids = spark.range(0, 1000).select(F.col("id").cast("string").alias("id")).union(
+        spark.range(30_000).select(F.lit("7").alias("id")))
+    found = graph.lookup(works, ids).agg(F.count("rest"))
+    assert found.collect()[0][0] == 30_000 + sum(1 for i in range(1000) if i % 3)
+    held = ids.select(F.col("id").alias("id_OpenAlex"), F.lit(None).cast("string").alias("doi"))
+    novel = graph.novel_candidates(works, held).agg(F.count("rest"))
+    assert novel.collect()[0][0] == 60_000 - sum(1 for i in range(1000) if i % 3)
+    for frame in (found, novel):
+        assert "skew=true" in frame._jdf.queryExecution().executedPlan().toString()
+
+
 def test_expansion(spark):
     edges = spark.createDataFrame(
         [("a", "b"), ("a", "a"), ("b", "c"), ("c", "d"), ("d", "a"), ("b", "gone")]

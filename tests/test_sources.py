@@ -59,6 +59,10 @@ def test_csv_files_with_other_header_order(spark, tmp_path):
 def test_no_landed_file(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         landing.read_landing(spark, [str(tmp_path / "none")])
+    (tmp_path / "empty").mkdir()
+    (tmp_path / "empty" / "notes.txt").write_text("not a batch")
+    with pytest.raises(FileNotFoundError):
+        landing.read_landing(spark, [str(tmp_path / "empty")])
 
 
 def test_known_ids_at_any_depth(spark, tmp_path):

@@ -108,7 +108,7 @@ SELECT d.doc_id, {', '.join(f"coalesce(max(weight) FILTER (dim = {i}), 0) AS emb
 FROM documents d LEFT JOIN hashed h ON d.doc_id = h.doc_id GROUP BY d.doc_id""")
 def embedding_wide(spark, sf_dir):
     wide = embedding.embedding_wide(embedded(spark, sf_dir))
-    return wide.select("doc_id", *[F.col(c).cast("double").alias(c) for c in wide.columns[1:]])
+    return wide.selectExpr("doc_id", *[f"CAST({c} AS DOUBLE) AS {c}" for c in wide.columns[1:]])
 
 
 @query("""

@@ -109,9 +109,8 @@ def embed_text(text: Column, encoder: type[Encoder] = HashingEncoder, *args) ->
 def embedding_wide(frame: DataFrame, column: str = "embedding",
                    width: int = EMBEDDING_WIDTH) -> DataFrame:
     """One float column ``embedding_<i>`` per dimension in place of the array."""
-    rest = [F.col(name) for name in frame.columns if name != column]
-    return frame.select(*rest, *[F.get(column, F.lit(i)).alias(f"{column}_{i}")
-                                 for i in range(width)])
+    rest = [f"`{name}`" for name in frame.columns if name != column]
+    return frame.selectExpr(*rest, *[f"get(`{column}`, {i}) AS `{column}_{i}`" for i in range(width)])
 
 
 def attach_vectors(frame: DataFrame, vectors: DataFrame, key: str, vector_key: str,

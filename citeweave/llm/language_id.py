@@ -32,8 +32,12 @@ SAMPLE_DOCS = 1_000
 # Of each of them, so many distinct words count at most; the model's size follows from both bounds.
 SAMPLE_WORDS = 5_000
 DISCOUNT = 0.75
-# Rejected: texts whose cross-entropy is so many deviations above the mean of their language.
+# Rejected: texts whose cross-entropy lies beyond this share of the way from the language's own texts
+# to words of the nearest other language, and so many deviations above its mean.
+REJECT_SHARE = 0.75
 REJECT_DEVIATIONS = 8.0
+PROFILE_WORDS = 2_000
+SHORT_CHARS = 60  # the bound widens for texts of fewer characters
 SCORE_CHARS = 40  # evidence that a score counts, in characters
 UNDETERMINED = "und"
 
@@ -70,8 +74,9 @@ class Model(NamedTuple):
     contexts: list[np.ndarray]  # per order 1..ORDER-1
     weights: list[np.ndarray]
     floor: float  # log probability of a character never seen
-    mean: float = 0.0
+    mean: float = 0.0  # cross-entropy of texts of the language, per character
     deviation: float = 0.0
+    profile: tuple[str, ...] = ()  # words by which other languages' models are calibrated
 
 
 def fit(counts: Counter[str]) -> Model:
@@ -150,6 +155,15 @@ class Identifier:
     def __init__(self, models: dict[str, Model]):
         self.languages = sorted(models)
         self.models = [models[language] for language in self.languages]
+        self.bounds = [self._bound(i) for i in range(len(self.models))]
+
+    def _bound(self, own: int) -> float:
+        """The highest cross-entropy at which a text passes as one of this language."""
+        model = self.models[own]
+        spread = model.mean + REJECT_DEVIATIONS * model.deviation
+        foreign = [-word_scores(model, list(other.profile)).sum() / sum(len(w) + 1 for w in other.profile)
+                   for i, other in enumerate(self.models) if i != own and other.profile]
+        return max([spread, *([model.mean + REJECT_SHARE * (min(foreign) - model.mean)] if foreign else [])])
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float], list[bool], list[float]]:
         """Language, score, acceptance and cross-entropy of each text of a batch."""
@@ -175,8 +189,7 @@ class Identifier:
             best = int(entropy.argmin())
             share = np.exp(-(entropy - entropy[best]) * min(n, SCORE_CHARS))
             model = self.models[best]
-            # Few characters vary more: the deviation is that of one character over the root of their number.
-            bound = model.mean + REJECT_DEVIATIONS * model.deviation * max(1.0, (1000 / n) ** 0.5)
+            bound = model.mean + (self.bounds[best] - model.mean) * max(1.0, (SHORT_CHARS / n) ** 0.5)
             labels.append(self.languages[best])
             scores.append(float(1 / share.sum()))
             accepted.append(bool(entropy[best] <= bound))
@@ -230,7 +243,9 @@ def _fit_language(key: tuple, rows: pa.Table) -> pa.Table:
     middle = float(np.median(entropies)) if entropies else float("inf")
     scaled = np.abs(np.array(entropies) - middle) * np.sqrt(np.minimum(np.array(lengths), 1000) / 1000)
     deviation = float(1.4826 * np.median(scaled)) if entropies else 0.0
-    model = model._replace(mean=middle, deviation=max(deviation, 0.02))
+    model = model._replace(mean=middle, deviation=max(deviation, 0.02),
+                           profile=tuple(sorted({w for row in docs for w in row["words"]},
+                                                key=xxhash.xxh3_64_intdigest)[:PROFILE_WORDS]))
     return pa.table({"language": pa.array([key[0].as_py()], pa.string()),
                      "model": pa.array([pickle.dumps(model)], pa.binary())})
 

@@ -116,6 +116,17 @@ def hypergeometric(draws: Column, good: Column, total: Column, uniform: Column)
     return low + found
 
 
+def _draw(seed: int, level: int):
+    """Takes the left half's share of one source and passes on what is open."""
+    def draw(state: Column, run: Column) -> Column:
+        uniform = _uniform(F.lit(seed), F.lit(level), F.col("node"), run["source"])
+        taken = hypergeometric(state["open"], run["quota"], state["total"], uniform)
+        return F.struct((state["open"] - taken).alias("open"), (state["total"] - run["quota"]).alias("total"),
+                        F.concat(state["taken"], F.array(taken)).alias("taken"))
+
+    return draw
+
+
 def shard_quotas(quotas: DataFrame, levels: int, seed: int = SEED) -> DataFrame:
     """``shard, source, first, quota``: for each of ``2 ** levels`` shards its run of each source's blocks.
 
@@ -130,14 +141,9 @@ def shard_quotas(quotas: DataFrame, levels: int, seed: int = SEED) -> DataFrame:
         total = F.aggregate("runs", F.lit(0).cast("bigint"), lambda acc, run: acc + run["quota"])
         left = F.floor((total + F.pmod(F.col("node"), F.lit(2))) / 2).cast("bigint")
 
-        def draw(state: Column, run: Column, level: int = level) -> Column:
-            uniform = _uniform(F.lit(seed), F.lit(level), F.col("node"), run["source"])
-            taken = hypergeometric(state["open"], run["quota"], state["total"], uniform)
-            return F.struct((state["open"] - taken).alias("open"), (state["total"] - run["quota"]).alias("total"),
-                            F.concat(state["taken"], F.array(taken)).alias("taken"))
-
         begin = F.struct(left.alias("open"), total.alias("total"), F.array().cast("array<bigint>").alias("taken"))
-        drawn = nodes.withColumn("taken", F.aggregate("runs", begin, draw, lambda state: state["taken"]))
+        drawn = nodes.withColumn("taken", F.aggregate(
+            "runs", begin, _draw(seed, level), lambda state: state["taken"]))
         one = F.zip_with("runs", "taken", lambda run, taken: F.struct(
             run["source"].alias("source"), run["first"].alias("first"), taken.alias("quota")))
         two = F.zip_with("runs", "taken", lambda run, taken: F.struct(

@@ -8,7 +8,7 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeweave.session import ship_package
@@ -19,7 +19,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 BLANK_BYTES = b" \t\n\x0b\x0c\r"
 
 # A batch that a Python task hands back holds about this many bytes.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
+# Rows in a batch that a Python task is given: texts may be long.
+BATCH_ROWS = 500
 
 
 def named(column: str) -> Column:
@@ -27,13 +29,25 @@ def named(column: str) -> Column:
     return F.col(f"`{column}`")
 
 
+def prepare(spark: SparkSession) -> None:
+    """Make the package importable in tasks, and bound the Arrow batches of the session.
+
+    The session's own bound stays if it is smaller.
+    """
+    ship_package(spark)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if not 0 < now <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Two columns ``doc_id`` (long) and ``text`` (null as empty); others are left out.
 
     Reading only these prunes the scan, and no further column of ``docs`` can
     clash with a working column.
     """
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     return docs.select(named(id_col).cast("bigint").alias("doc_id"),
                        F.coalesce(named(text_col), F.lit("")).alias("text"))
 

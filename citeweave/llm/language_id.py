@@ -22,8 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from citeweave.llm.common import named
-from citeweave.session import ship_package
+from citeweave.llm.common import named, prepare
 from citeweave.sources.tables import staged
 
 ORDER = 4
@@ -304,7 +303,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     is everything if no label was learned.  Rows without an id are neither learned from nor
     held out.  Labels are used for learning only; other columns are not looked at.
     """
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     fold = _remainder(named(id_col).cast("bigint"), 3)
     learned = docs.select(named(id_col).alias("_id"), named(text_col).alias("_text"), named(lang_col).alias("_lang"),
                           fold.alias("_fold")).where("_fold in (0, 2)")
@@ -318,7 +317,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 def of_known_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     """``docs`` without the rows whose language is undetermined or rejected; all columns stay."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     fold = _remainder(named(id_col).cast("bigint"), 3)
     learned = docs.select(named(id_col).alias("_id"), named(text_col).alias("_text"), named(lang_col).alias("_lang"),
                           fold.alias("_fold")).where("_fold in (0, 2)")

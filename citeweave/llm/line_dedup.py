@@ -19,8 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeweave.llm.common import BLANK_BYTES, arrow_batches, id_and_text, named
-from citeweave.session import ship_package
+from citeweave.llm.common import BLANK_BYTES, arrow_batches, id_and_text, named, prepare
 from citeweave.sources.tables import staged
 
 MIN_POINTS = 20  # keys with fewer code points stay
@@ -118,7 +117,7 @@ def seen_again(texts: DataFrame, bits: int = FILTER_BITS, min_points: int = MIN_
     merged = parts.repartition("segment").sortWithinPartitions("segment").mapInArrow(_merge_segments, _SEGMENTS)
     whole = np.zeros(bits // 8, dtype=np.uint8)
     size = min(SEGMENT_BYTES, bits // 8)
-    for row in merged.select("segment", "again").toLocalIterator():
+    for row in merged.select("segment", "again").collect():  # bits / 8 bytes
         whole[row.segment * size:(row.segment + 1) * size] = np.frombuffer(row.again, dtype=np.uint8)
     return whole
 
@@ -193,7 +192,7 @@ def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: st
 
     ``_lines`` has ``text, n_lines, n_dropped, kept_sha256``.
     """
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     texts = id_and_text(docs, id_col, text_col).withColumn("row_key", F.xxhash64("doc_id", "text"))
     drops = dropped_lines(texts, min_points, min_documents, filter_bits).select(
         F.col("doc_id").alias("_ld_id"), F.col("row_key").alias("_ld_key"), F.col("drops").alias("_ld_drops"))

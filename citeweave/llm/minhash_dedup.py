@@ -8,18 +8,20 @@ shingle sets.  Documents with equal sets are one node from the start.
 
 A bucket of candidates is not expanded into pairs.  Its members are compared with its
 smallest node.  Members that this links are settled.  For the others, the distance of
-Jaccard sets being a metric, the known distances to the smallest node exclude most
-remaining pairs exactly; only those left, between nodes not connected yet, are compared.
+Jaccard sets being a metric, the known distances to the smallest node exclude many
+remaining pairs exactly, and so do shingles that no other unsettled node has and bitmaps
+of the sets; only pairs left over, between nodes not connected yet, are compared.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citeweave.llm.common import arrow_batches, id_and_text, mixed, named
@@ -37,6 +39,8 @@ _SETS = ("doc_id bigint, n_shingles bigint, sign_a bigint, sign_b bigint, regist
 _SETS_ARROW = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("sign_a", pa.int64()),
                          ("sign_b", pa.int64()), ("registers", pa.binary())])
 _BANDS_ARROW = pa.schema([("node", pa.int64()), ("bands", pa.list_(pa.int64()))])
+# Bits that mark a node's shingles, to bound intersections of pairs.
+MARK_BITS = 2_048
 # So many ids, 16 MB, are sent to every task at most.
 BROADCAST_IDS = 1_000_000
 
@@ -85,14 +89,17 @@ def hyperminhash(distinct: np.ndarray) -> np.ndarray:
     return out
 
 
-def estimate(a: np.ndarray, b: np.ndarray) -> tuple[float, float]:
-    """Jaccard similarity from two register arrays, corrected for accidental agreement, and its margin."""
+def estimate(a: np.ndarray, b: np.ndarray, least: float = 0.5) -> tuple[float, float]:
+    """Jaccard similarity from two register arrays, corrected for accidental agreement, and its margin.
+
+    The margin is that of an estimate whose true value is ``least``.
+    """
     used = (a != 0) | (b != 0)
     n = int(used.sum())
     if not n:
         return 0.0, 1.0
     same = int(((a == b) & used).sum()) / n
-    return max(0.0, (same - ACCIDENT) / (1 - ACCIDENT)), DEVIATIONS * (0.25 / n) ** 0.5
+    return max(0.0, (same - ACCIDENT) / (1 - ACCIDENT)), DEVIATIONS * (least * (1 - least) / n) ** 0.5
 
 
 def words_of(text: str) -> list[bytes]:
@@ -117,12 +124,34 @@ def _sketches(width: int):
     return sketches
 
 
+@functools.lru_cache(maxsize=1)
+def _donor_order() -> np.ndarray:
+    """For each register the order in which it would take the value of each other one."""
+    places = np.arange(REGISTERS, dtype=np.uint64)
+    return mixed(mixed(places)[:, None] * np.uint64(REGISTERS) + places[None, :])
+
+
+def filled(registers: np.ndarray) -> np.ndarray:
+    """Registers with each empty one filled from the first non-empty one in its order.
+
+    Two sets agree in a filled register with at least the probability that they agree in
+    any other, so bands of short texts are as selective as those of long ones.
+    """
+    empty, full = np.flatnonzero(registers == 0), np.flatnonzero(registers)
+    if not len(empty) or not len(full):
+        return registers
+    out = registers.copy()
+    out[empty] = registers[full[_donor_order()[np.ix_(empty, full)].argmin(axis=1)]]
+    return out
+
+
 def band_keys(registers: np.ndarray) -> np.ndarray:
-    """One hash per band that holds any register; bands without a shingle are left out."""
-    bands = registers.reshape(BANDS, ROWS)
-    halves = bands.view(np.uint64)  # two per band
+    """One hash per band of filled registers; none for an empty set."""
+    if not registers.any():
+        return np.zeros(0, dtype=np.int64)
+    halves = filled(registers).reshape(BANDS, ROWS).view(np.uint64)  # two per band
     keys = mixed(mixed(halves[:, 0] + np.arange(BANDS, dtype=np.uint64)) * np.uint64(5) + halves[:, 1])
-    return keys[bands.any(axis=1)].view(np.int64)
+    return keys.view(np.int64)
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,8 +171,8 @@ def _hopeful(least: float):
         def rows() -> Iterator[tuple]:
             for batch in batches:
                 for a, b, one, two in zip(*(batch.column(i) for i in range(4)), strict=True):
-                    value, margin = estimate(*(np.frombuffer(x.as_py(), dtype=np.uint16) for x in (one, two)))
-                    yield a.as_py(), b.as_py(), min(1.0, value + margin), value + margin >= least
+                    value, margin = estimate(*(np.frombuffer(x.as_py(), dtype=np.uint16) for x in (one, two)), least)
+                    yield a.as_py(), b.as_py(), min(1.0, value + 2 * margin), value + margin >= least
 
         yield from arrow_batches(rows(), schema)
 
@@ -173,6 +202,45 @@ def _confirm(width: int, least: int):
     return confirm
 
 
+def _shingle_rows(width: int):
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("node", pa.int64()), ("shingle", pa.int64())])
+        for batch in batches:
+            known = _WordHashes()
+            for node, text in zip(batch.column(0), batch.column(1), strict=True):
+                own = shingle_hashes(words_of(text.as_py()), width, known).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(own), node.as_py(), dtype=np.int64)), pa.array(own)], schema=schema)
+
+    return shingles
+
+
+def _bitmaps(width: int):
+    def bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("node", pa.int64()), ("bits", pa.list_(pa.int64()))])
+
+        def rows() -> Iterator[tuple]:
+            for batch in batches:
+                known = _WordHashes()
+                for node, text in zip(batch.column(0), batch.column(1), strict=True):
+                    own = shingle_hashes(words_of(text.as_py()), width, known)
+                    bits = np.zeros(MARK_BITS, dtype=np.uint8)
+                    bits[(own % np.uint64(MARK_BITS)).astype(np.int64)] = 1
+                    yield node.as_py(), np.packbits(bits).view(np.int64).tolist()
+
+        yield from arrow_batches(rows(), schema, lambda row: MARK_BITS // 8)
+
+    return bitmaps
+
+
+def own_shingles(texts: DataFrame, width: int) -> DataFrame:
+    """``node, n_alone``: how many shingles of each node none of the others has; ``texts`` has ``node, text``."""
+    rows = texts.mapInArrow(_shingle_rows(width), "node bigint, shingle bigint")
+    # Unlike nodes: an id with several texts is one holder.
+    return rows.groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("last")).where(
+        "node = last").groupBy("node").agg(F.count(F.lit(1)).alias("n_alone"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node, label``: for each node of ``a, b`` edges the smallest node it reaches.
 
@@ -253,16 +321,36 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sized = sketches.select("node", "n_shingles")
     inside = (met.where("node <> hub").join(known, ["hub", "node"]).join(labels, "node", "left")
               .join(sized, "node").withColumn("label", F.coalesce("label", "node")))
-    left = staged(inside.where("not linked"), "unsettled")
+    left = inside.where("not linked")
     if not left.isEmpty():
-        others = inside.join(left.select("band").distinct(), "band", "left_semi")
-        x, y = left.alias("x"), others.alias("y")
+        mates = staged(inside.join(left.select("band").distinct(), "band", "left_semi"), "unsettled")
+        # A shingle that no mate has is in no intersection; this bounds every similarity from above.
+        nodes = staged(mates.select("node").distinct(), "unsettled-nodes")
+        wanted = texts.withColumnRenamed("doc_id", "node").join(nodes, "node", "left_semi")
+        bounded = mates.join(own_shingles(wanted, width), "node", "left").withColumn(
+            "n_shared", F.col("n_shingles") - F.coalesce("n_alone", F.lit(0))).where(
+            100 * F.col("n_shared") >= percent * F.col("n_shingles"))
+        # So does each bit that one set has and the other has not.
+        marks = wanted.mapInArrow(_bitmaps(width), "node bigint, bits array<bigint>").dropDuplicates(["node"])
+        words = [F.get("bits", F.lit(i)).alias(f"bits{i}") for i in range(MARK_BITS // 64)]
+        marks = marks.select("node", *words, F.aggregate(
+            F.transform("bits", F.bit_count), F.lit(0), lambda total, n: total + n).alias("n_bits"))
+        marked = staged(bounded.join(marks, "node"), "bounded")
+        x, y = marked.where("not linked").alias("x"), marked.alias("y")
         gap = 1 - percent / 100 + 1e-9
+
+        def reaches(both: Column) -> Column:
+            return 100 * both >= percent * (F.col("x.n_shingles") + F.col("y.n_shingles") - both)
+
+        # Plain columns, so that the join's condition stays in generated code.
+        common = sum((F.bit_count(F.col(f"x.bits{i}").bitwiseAND(F.col(f"y.bits{i}"))) for i in range(MARK_BITS // 64)),
+                     F.lit(0))
+        in_both = F.least(*[F.col(f"{side}.n_shingles") - F.col(f"{side}.n_bits") for side in "xy"])
         possible = ((F.col("x.band") == F.col("y.band")) & (F.col("x.label") != F.col("y.label"))
                     & (F.col("y.linked") | (F.col("x.node") < F.col("y.node")))
-                    & (100 * F.least("x.n_shingles", "y.n_shingles") >= percent * F.greatest("x.n_shingles",
-                                                                                            "y.n_shingles"))
-                    & (F.col("y.low") - F.col("x.high") <= gap) & (F.col("x.low") - F.col("y.high") <= gap))
+                    & reaches(F.least("x.n_shared", "y.n_shared"))
+                    & (F.col("y.low") - F.col("x.high") <= gap) & (F.col("x.low") - F.col("y.high") <= gap)
+                    & reaches(in_both + common))
         rest = staged(x.join(y, possible).select(F.least("x.node", "y.node").alias("a"),
                                                  F.greatest("x.node", "y.node").alias("b")).distinct(), "remaining")
         if not rest.isEmpty():

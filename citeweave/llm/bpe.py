@@ -1,8 +1,8 @@
 """BPE encoding and decoding over a table of distinct words.
 
-Texts are split into the tokenizer's words in Spark, each distinct word of the corpus is
-encoded once, and its ids are joined back by position: by the word's number in its
-block's dictionary (see :mod:`citeweave.llm.blocks`).  Decoding looks each id up in the
+Texts are split into the tokenizer's words in Spark.  Words of blocks meet by word, so that
+each distinct word of the corpus is encoded once, and its ids are joined back by position:
+by the word's number in its block's dictionary (see :mod:`citeweave.llm.blocks`).  Decoding looks each id up in the
 table of pieces, whose size is that of the vocabulary.
 """
 
@@ -28,7 +28,7 @@ _LETTERS = "a-zªµºß-öø-ɏ"
 _NUMBERS = "0-9²³¹¼-¾"
 _SPACES = " \t-\r\u0085 "
 # The word pattern of the tokenizer, for lower-cased texts of characters up to U+024F.
-_PLAIN_WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^{_SPACES}{_LETTERS}{_NUMBERS}]+")
+_PLAIN_WORDS = re.compile(f"[{_LETTERS}]+|'(?:s|t|re|ve|m|ll|d)|[{_NUMBERS}]|[^{_SPACES}{_LETTERS}{_NUMBERS}]+")
 _BEYOND_PLAIN = re.compile("[^\u0000-ɏ]|[İ]")
 
 
@@ -55,33 +55,55 @@ class WordSplitter:
         self._special = frozenset(special)
         self._marks = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
 
-    def __call__(self, text: str) -> list[bytes]:
+    def __call__(self, text: str) -> list[str]:
         if self._marks is None or "<|" not in text:
             return self._words(text)
-        words: list[bytes] = []
+        words: list[str] = []
         for part in self._marks.split(text):
-            words += [part.encode("utf-8")] if part in self._special else self._words(part)
+            words += [part] if part in self._special else self._words(part)
         return words
 
-    def _words(self, text: str) -> list[bytes]:
-        if not _BEYOND_PLAIN.search(text):
-            return list(map(str.encode, _PLAIN_WORDS.findall(text.lower())))
+    def _words(self, text: str) -> list[str]:
+        if text.isascii() or not _BEYOND_PLAIN.search(text):
+            return _PLAIN_WORDS.findall(text.lower())
         tokenizer = _tokenizer(self._data)
         whole = tokenizer.normalizer.normalize_str(text)
-        return [whole[start:end].encode("utf-8") for _, (start, end) in tokenizer.pre_tokenizer.pre_tokenize_str(whole)]
+        return [whole[start:end] for _, (start, end) in tokenizer.pre_tokenizer.pre_tokenize_str(whole)]
+
+
+# Entries that a task encodes at a time.
+ENCODED_ROWS = 20_000
+_IDS_ARROW = pa.schema([("block", pa.int64()), ("pos", pa.int32()), ("ids", pa.list_(pa.int32()))])
 
 
 def _encode(data: str):
+    """Ids of dictionary entries in order of their words, each distinct word encoded once."""
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(data)
-        schema = pa.schema([("word", pa.binary()), ("ids", pa.list_(pa.int32()))])
+        last: tuple[bytes | None, list[int]] = (None, [])
+
+        def done(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+            nonlocal last
+            table = pa.Table.from_batches(held).combine_chunks()
+            entries = table.column("word").combine_chunks().dictionary_encode()
+            words = entries.dictionary.to_pylist()
+            first = 1 if words[0] == last[0] else 0  # its entries began in the batch before
+            encoded = tokenizer.encode_batch_fast([w.decode("utf-8") for w in words[first:]], add_special_tokens=False)
+            ids = [last[1]][:first] + [one.ids for one in encoded]
+            last = (words[-1], ids[-1])
+            taken = pa.array(ids, pa.list_(pa.int32())).take(entries.indices)
+            return pa.RecordBatch.from_arrays(
+                [table.column("block").combine_chunks(), table.column("pos").combine_chunks(), taken], schema=_IDS_ARROW)
+
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            words = [word.decode("utf-8") for word in batch.column(0).to_pylist()]
-            ids: list[list[int]] = []
-            for start in range(0, len(words), 5_000):
-                encoded = tokenizer.encode_batch(words[start:start + 5_000], add_special_tokens=False)
-                ids += [one.ids for one in encoded]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], schema=schema)
+            if batch.num_rows:
+                held.append(batch)
+            if sum(part.num_rows for part in held) >= ENCODED_ROWS:
+                yield done(held)
+                held = []
+        if held:
+            yield done(held)
 
     return encode
 
@@ -106,28 +128,32 @@ def _assemble(pieces, digests: bool):
         if blocks.num_rows != 1:
             raise ValueError("the documents changed between two readings; write them to a table first")
         positions = entries.column("pos").to_numpy()
-        ids_of: list = [None] * len(positions)
-        for position, ids in zip(positions.tolist(), entries.column("ids").to_pylist(), strict=True):
-            ids_of[position] = ids
+        lists = entries.column("ids").combine_chunks()
+        flat, bounds = lists.values.to_numpy(), lists.offsets.to_numpy()
+        sizes = np.diff(bounds)
+        count_of, start_of = np.zeros((2, len(positions)), dtype=np.int64)
+        count_of[positions], start_of[positions] = sizes, bounds[:-1]
         names = pieces.value
-        block = {name: blocks.column(name)[0].as_py() for name in ("doc_ids", "n_words", "codes")}
-        codes = unpacked(block["codes"]).tolist()
-        decoded_of = [" ".join([names[i] for i in ids]) for ids in ids_of]
-        written_of = [" ".join(map(str, ids)) for ids in ids_of] if digests else []
-        count_of = [len(ids) for ids in ids_of]
+        decoded_of = [" ".join([names[i] for i in flat[start:start + n].tolist()])
+                      for start, n in zip(start_of.tolist(), count_of.tolist(), strict=True)]
+        written_of = [" ".join(map(str, flat[start:start + n].tolist()))
+                      for start, n in zip(start_of.tolist(), count_of.tolist(), strict=True)] if digests else []
+        doc_ids, n_words = (blocks.column(name)[0].as_py() for name in ("doc_ids", "n_words"))
+        codes = unpacked(blocks.column("codes")[0].as_buffer())
 
         def rows() -> Iterator[tuple]:
             at = 0
-            for doc_id, n in zip(block["doc_ids"], block["n_words"], strict=True):
-                own = codes[at:at + n]
+            for doc_id, n in zip(doc_ids, n_words, strict=True):
+                part = codes[at:at + n]
+                own = part.tolist()
                 at += n
-                decoded = " ".join([decoded_of[c] for c in own])
+                decoded = " ".join(map(decoded_of.__getitem__, own))
                 if digests:
-                    written = " ".join([written_of[c] for c in own])
-                    yield (doc_id, sum([count_of[c] for c in own]), hashlib.sha256(written.encode()).hexdigest(),
+                    written = " ".join(map(written_of.__getitem__, own))
+                    yield (doc_id, int(count_of[part].sum()), hashlib.sha256(written.encode()).hexdigest(),
                            hashlib.sha256(decoded.encode("utf-8")).hexdigest())
                 else:
-                    yield doc_id, [i for c in own for i in ids_of[c]], decoded
+                    yield doc_id, [i for c in own for i in flat[start_of[c]:start_of[c] + count_of[c]].tolist()], decoded
 
         schema = _DIGEST_ARROW if digests else _OUT_ARROW
         weigh = (lambda row: 160) if digests else (lambda row: 8 * len(row[1]) + len(row[2]))
@@ -155,9 +181,10 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id
     texts = id_and_text(docs, id_col, text_col)
     texts = texts if written else staged(texts, "texts")
     split = WordSplitter(data)
-    entries = dictionaries(texts, split, block_bytes=block_bytes).select("block", "pos", "word").repartition("word")
-    table = entries.select("word").distinct().mapInArrow(_encode(data), "word binary, ids array<int>")
-    joined = entries.join(table, "word").select("block", "pos", "ids")
+    # The table of distinct words: all entries of a word lie together, one after another.
+    entries = dictionaries(texts, split, block_bytes=block_bytes).select("block", "pos", "word")
+    joined = entries.repartition("word").sortWithinPartitions("word").mapInArrow(
+        _encode(data), "block bigint, pos int, ids array<int>")
     pieces = {row["id"]: row["piece"] for row in piece_table(spark, data).collect()}  # one entry per id of the vocabulary
     assemble = _assemble(spark.sparkContext.broadcast(pieces), digests)
     return coded(texts, split, block_bytes).groupBy("block").cogroup(joined.groupBy("block")).applyInArrow(

@@ -10,6 +10,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from citeweave.functions.embedding import HashingEncoder, SentenceModelEncoder
+from citeweave.operators.graph import LOOKUP_KEYS, lookup, lookup_missing
 from citeweave.plans.acquire import acquire, expand, requests_for
 from citeweave.plans.describe import DESCRIBED, describe
 from citeweave.plans.features import feature_journal
@@ -17,7 +18,7 @@ from citeweave.plans.integrate import integrate_journal
 from citeweave.session import build_session, ship_package
 from citeweave.sources.landing import append_batch, known_ids, no_known_ids
 from citeweave.sources.tables import read_table
-from citeweave.sources.works_json import read_works
+from citeweave.sources.works_json import DEFAULT_FIELDS, flatten_works, read_works
 from citeweave.streaming.ingest import ingest_landing
 
 
@@ -33,9 +34,11 @@ def run_acquire(spark: SparkSession, args: argparse.Namespace) -> None:
     names = spark.createDataFrame([(name,) for name in args.names], "name string")
     requests = requests_for(names, spark.read.json(args.journals), *args.years)
     found = acquire(read_works(spark, args.snapshot), requests, held_below(spark, folder),
-                    held_below(spark, f"{folder}/references"), args.cap)
+                    held_below(spark, f"{folder}/references"), args.cap, args.fields)
     append_batch(found.works, folder)
     append_batch(found.references, f"{folder}/references")
+    if args.cap is not None:
+        found.left_out.write.mode("overwrite").parquet(f"{folder}/ledger/left_out")
 
 
 def run_expand(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -45,17 +48,28 @@ def run_expand(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def run_integrate(spark: SparkSession, args: argparse.Namespace) -> None:
-    integrate_journal(spark, args.landing, args.label, args.out)
+    bad = integrate_journal(spark, args.landing, args.label, args.out, multi_line=not args.single_line)
+    bad.write.mode("overwrite").parquet(f"{args.out}/{args.label}-bad-cells")
 
 
 def run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
-    ingest_landing(spark, args.landing, args.out, args.checkpoint)
+    ingest_landing(spark, args.landing, args.out, args.checkpoint, multi_line=not args.single_line)
+
+
+def run_details(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Land the records of given ids, and a ledger of those the snapshot does not have."""
+    folder = f"{args.landing}/{args.label}"
+    key = "doi" if args.by == "doi" else "id"
+    ids = spark.read.text(args.ids).withColumnRenamed("value", "id")
+    works = read_works(spark, args.snapshot)
+    append_batch(flatten_works(lookup(works, ids, args.by, key=key), args.fields), folder)
+    lookup_missing(works, ids, args.by, key=key).write.mode("overwrite").parquet(f"{folder}/ledger/not_found")
 
 
 def run_features(spark: SparkSession, args: argparse.Namespace) -> None:
     ship_package(spark)
     encoder = (SentenceModelEncoder, args.model) if args.model else (HashingEncoder,)
-    feature_journal(spark, args.integrated, args.label, args.out, *encoder, by_year=args.by_year)
+    feature_journal(spark, args.integrated, args.label, args.out, *encoder, by_year=args.by_year, wide=args.wide)
 
 
 def run_describe(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -78,14 +92,20 @@ def parser() -> argparse.ArgumentParser:
                 "snapshot", "journals", "landing", "label")
     sub.add_argument("--names", nargs="+", required=True)
     sub.add_argument("--years", nargs=2, type=int, required=True)
-    sub.add_argument("--cap", type=int, default=1000)
+    sub.add_argument("--cap", type=int, help="most new works of each search; without it all")
+    sub.add_argument("--fields", nargs="+", default=DEFAULT_FIELDS)
+    sub = stage(run_details, "land the records of given ids", "snapshot", "ids", "landing", "label")
+    sub.add_argument("--by", choices=sorted(LOOKUP_KEYS), default="oaid")
+    sub.add_argument("--fields", nargs="+", default=DEFAULT_FIELDS)
     sub = stage(run_expand, "land works reached along references", "snapshot", "landing", "label")
     sub.add_argument("--hops", type=int, default=1)
-    stage(run_integrate, "landed batches to one table", "landing", "label", "out")
-    stage(run_ingest, "take in newly landed files", "landing", "out", "checkpoint")
+    for sub in (stage(run_integrate, "landed batches to one table", "landing", "label", "out"),
+                stage(run_ingest, "take in newly landed files", "landing", "out", "checkpoint")):
+        sub.add_argument("--single-line", action="store_true", help="no cell holds a line break; files can be split")
     sub = stage(run_features, "integrated works to the feature table", "integrated", "label", "out")
     sub.add_argument("--model", help="folder of a sentence model; hashed words without it")
     sub.add_argument("--by-year", action="store_true")
+    sub.add_argument("--wide", action="store_true", help="one column per dimension of the embedding")
     sub = stage(run_describe, "the data of the figures", "features", "out")
     sub.add_argument("--columns", nargs="+", default=DESCRIBED)
     return top

@@ -10,19 +10,19 @@ from citeweave.operators import describe
 from citeweave.sources import tables
 
 HISTOGRAM = """
-SELECT '{column}' AS column_name, g.bin::BIGINT AS bin, lo + g.bin * ((hi - lo) / 200) AS bin_start,
-       CASE WHEN g.bin = 199 THEN hi ELSE lo + (g.bin + 1) * ((hi - lo) / 200) END AS bin_end,
-       coalesce(c.n, 0)::BIGINT AS n, n_rows
+SELECT '{column}' AS column_name, g.bin::BIGINT AS bin, lo + g.bin * (hi / 200 - lo / 200) AS bin_start,
+       CASE WHEN g.bin = 199 THEN hi ELSE lo + (g.bin + 1) * (hi / 200 - lo / 200) END AS bin_end,
+       coalesce(c.n, 0)::BIGINT AS n, n_rows - n_valued AS n_missing, 0::BIGINT AS n_infinite, n_rows
 FROM (SELECT unnest(generate_series(0, 199)) AS bin) g
-CROSS JOIN (SELECT min({column}) AS lo, max({column}) AS hi, count(*) AS n_rows FROM {table}) r
+CROSS JOIN (SELECT min({column}) AS lo, max({column}) AS hi, count(*) AS n_rows, count({column}) AS n_valued FROM {table}) r
 LEFT JOIN ({counts}) c ON c.bin = g.bin"""
 
 COUNTS = """
 SELECT {keys} bin, count(*) AS n FROM (
   SELECT {keys} CASE WHEN x < lo + b * w THEN b - 1
               WHEN b < 199 AND x >= lo + (b + 1) * w THEN b + 1 ELSE b END AS bin
-  FROM (SELECT {select} {column} AS x, lo, (hi - lo) / 200 AS w,
-               least(floor(({column} - lo) / ((hi - lo) / 200)), 199) AS b
+  FROM (SELECT {select} {column} AS x, lo, hi / 200 - lo / 200 AS w,
+               greatest(least(floor({column} / (hi / 200 - lo / 200) - lo / (hi / 200 - lo / 200)), 199), 0) AS b
         FROM {table}, (SELECT min({column}) AS lo, max({column}) AS hi FROM {table})))
 GROUP BY {keys} bin"""
 
@@ -43,7 +43,7 @@ def histogram_200(spark, sf_dir):
 @query(f"""
 WITH c AS ({COUNTS.format(keys="publication_year,", select="year(o_orderdate)::INTEGER AS publication_year,",
                           column="o_totalprice", table="orders")})
-SELECT publication_year, bin::BIGINT AS bin, lo + bin * ((hi - lo) / 200) AS bin_start, n
+SELECT publication_year, bin::BIGINT AS bin, lo + bin * (hi / 200 - lo / 200) AS bin_start, n
 FROM c, (SELECT min(o_totalprice) AS lo, max(o_totalprice) AS hi FROM orders)""")
 def scatter_year(spark, sf_dir):
     works = orders(spark, sf_dir).select(F.year("o_orderdate").alias("publication_year"), "o_totalprice")

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from citeweave.catalog.registry import query, table
 from citeweave.catalog.standins import WORK, day_text, doi, orders, with_documents, work_id
+from citeweave.plans.integrate import integrate
 from citeweave.session import fresh_path
 from citeweave.sources import landing, tables
 from citeweave.streaming.ingest import ingest_landing
@@ -66,9 +67,10 @@ def csv_bad_cells(spark, sf_dir):
     return landing.bad_cells(cells).groupBy("column", "text").agg(F.count("*").alias("n"))
 
 
-@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders")
+@query("SELECT * REPLACE (strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate) FROM orders")
 def src_parquet(spark, sf_dir):
-    return tables.read_table(spark, f"{sf_dir}/orders.parquet").drop("o_orderdate")
+    return tables.read_table(spark, f"{sf_dir}/orders.parquet").withColumn(
+        "o_orderdate", day_text(form="yyyy-MM-dd HH:mm:ss"))
 
 
 @query(f"""
@@ -119,10 +121,20 @@ def sink_parquet(spark, sf_dir):
     return tables.read_table(spark, path)
 
 
-@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
+@query("SELECT * REPLACE (strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate) FROM orders")
 def stage_roundtrip(spark, sf_dir):
-    works = orders(spark, sf_dir).select("o_orderkey", "o_custkey", "o_totalprice")
-    return tables.staged(tables.staged(works, "first"), "second")
+    works = tables.staged(tables.staged(orders(spark, sf_dir), "first"), "second")
+    return works.withColumn("o_orderdate", day_text(form="yyyy-MM-dd HH:mm:ss"))
+
+
+# Ten batches land one after another in one folder, each with every work; the first copy stays.
+@query(f"SELECT '{WORK}' || o_orderkey AS id_OpenAlex, 0 AS citation_count_OpenAlex FROM orders")
+def keep_first_batch(spark, sf_dir):
+    root = fresh_path(spark, "batches")
+    works = orders(spark, sf_dir).select(work_id("o_orderkey").alias("id_OpenAlex"))
+    for number in range(10):
+        landing.append_batch(works.withColumn("citation_count_OpenAlex", F.lit(number)), root)
+    return integrate(landing.read_landing(spark, [root])).select("id_OpenAlex", "citation_count_OpenAlex")
 
 
 @query("""

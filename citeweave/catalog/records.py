@@ -14,7 +14,8 @@ from citeweave.sources import pages, tables, works_json
 @query(f"""
 SELECT '{WORK}' || o_orderkey AS id_OpenAlex, '10.5555/' || o_orderkey AS doi, d.source AS title,
        o_totalprice::INTEGER AS citation_count_OpenAlex,
-       '{WORK}' || o_custkey AS first_reference, d.text AS abstract_OpenAlex,
+       '{WORK}' || o_custkey AS first_reference, '{WORK}' || (o_orderkey + o_custkey) // 2 AS second_reference,
+       d.text AS abstract_OpenAlex,
        '{JOURNAL}' || o_orderpriority[1] AS source_id, o_orderpriority AS source_name,
        o_orderstatus = 'O' AS source_is_open_access, 'OpenAlex' AS source_database
 FROM (SELECT * REPLACE (trunc(o_totalprice) AS o_totalprice) FROM orders)
@@ -24,7 +25,8 @@ def json_flatten(spark, sf_dir):
     flat = works_json.flatten_works(works_json.parse_bodies(bodies))
     return flat.select(
         "id_OpenAlex", "doi", "title", "citation_count_OpenAlex",
-        F.get("referenced_works_OpenAlex", F.lit(0)).alias("first_reference"), "abstract_OpenAlex",
+        F.get("referenced_works_OpenAlex", F.lit(0)).alias("first_reference"),
+        F.get("referenced_works_OpenAlex", F.lit(1)).alias("second_reference"), "abstract_OpenAlex",
         F.col("source.id").alias("source_id"), F.col("source.name").alias("source_name"),
         F.col("source.is_open_access").alias("source_is_open_access"),
         F.col("source.database").alias("source_database"))

@@ -12,22 +12,19 @@ from citeweave.catalog.texts import CLEANED
 from citeweave.operators.describe import histograms
 from citeweave.plans.acquire import acquire, expand, requests_for
 from citeweave.plans.describe import DESCRIBED
-from citeweave.plans.features import features
+from citeweave.plans.features import features, sorted_features
 from citeweave.plans.integrate import integrate
+from citeweave.schemas import FEATURE_WORK
 from citeweave.session import fresh_path
 from citeweave.sources import landing
-from citeweave.sources.tables import staged
-
-CAP = 150
+from citeweave.sources.tables import read_table, staged, write_table
 
 # Searches: journals 1, 2 and 3 in 1996 to 1998; held: works of status P.
-WANTED = f"""
-WITH hits AS (
-  SELECT *, row_number() OVER (PARTITION BY o_orderpriority, year(o_orderdate)
-                               ORDER BY '{WORK}' || o_orderkey) AS nth
-  FROM orders
-  WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM') AND year(o_orderdate) BETWEEN 1996 AND 1998),
-wanted AS (SELECT * FROM hits WHERE nth <= {CAP} AND o_orderstatus <> 'P')"""
+WANTED = """
+WITH wanted AS (
+  SELECT * FROM orders
+  WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM') AND year(o_orderdate) BETWEEN 1996 AND 1998
+    AND o_orderstatus <> 'P')"""
 FLAT = f"""
 SELECT '{WORK}' || o_orderkey AS id_OpenAlex, '10.5555/' || o_orderkey AS doi, d.source AS title,
        trunc(o_totalprice)::INTEGER AS citation_count_OpenAlex, d.text AS abstract_OpenAlex,
@@ -44,7 +41,7 @@ def acquired(spark, sf_dir):
     held = works.where("o_orderstatus = 'P'").select(
         doi("o_orderkey", "10.5555/").alias("doi"), work_id("o_orderkey").alias("id_OpenAlex"))
     held_references = works.where("o_orderstatus = 'F'").select(work_id("o_orderkey").alias("id_OpenAlex"))
-    return acquire(snapshot, requests_for(names, journals, 1998, 1996), held, held_references, CAP)
+    return acquire(snapshot, requests_for(names, journals, 1998, 1996), held, held_references)
 
 
 def flat_columns(works):
@@ -113,12 +110,19 @@ SELECT o_orderkey AS id_OpenAlex, strftime(o_orderdate, '%Y-%m-%d') AS publicati
 FROM orders JOIN m ON year(o_orderdate) = y JOIN documents d ON o_orderkey = d.doc_id"""
 
 
-@query(FEATURES)
+# The whole feature table, written by the sink under its contract and read again.
+@query(f"""
+WITH f AS ({FEATURES})
+SELECT f.*, '10.5555/' || o_orderkey AS doi, 'article' AS type, o_orderstatus AS open_access,
+       o_orderpriority AS source, NULL::DOUBLE AS cited_by_percentile_year_OpenAlex,
+       NULL::DOUBLE AS citation_normalized_percentile_OpenAlex,
+       '[''{WORK}' || o_custkey || ''', ''{WORK}' || (o_orderkey + o_custkey) // 2 || ''']' AS referenced_works_OpenAlex,
+       d.source AS title, d.text AS abstract_OpenAlex, NULL::VARCHAR AS topics
+FROM f JOIN orders ON id_OpenAlex = o_orderkey JOIN documents d ON o_orderkey = d.doc_id""")
 def feature_table(spark, sf_dir):
-    return features(flat_works(spark, sf_dir)).select(
-        "id_OpenAlex", F.date_format("publication_date", "yyyy-MM-dd").alias("publication_date"),
-        "publication_year", "publication_date_int", "citation_count_OpenAlex",
-        "median_citation_count_year", "higher_than_median_year", "title_abstract")
+    path = fresh_path(spark, "features")
+    write_table(sorted_features(flat_works(spark, sf_dir)), path, FEATURE_WORK)
+    return read_table(spark, path).withColumn("publication_date", F.date_format("publication_date", "yyyy-MM-dd"))
 
 
 @query(f"WITH features AS ({FEATURES})\n" + "\nUNION ALL\n".join(

@@ -9,6 +9,7 @@ from citeweave.catalog.standins import doi, orders, with_documents, work_id
 from citeweave.functions import abstracts, embedding, ids, text
 from citeweave.plans import features as plan
 from citeweave.session import ship_package
+from citeweave.sources.tables import sort_by_id
 
 CLEANED = r"trim(regexp_replace(translate(lower({0}), '()[]{{}}', '      '), '\s+', ' ', 'g'))"
 
@@ -90,8 +91,9 @@ WITH words AS (
 
 def embedded(spark, sf_dir):
     ship_package(spark)
-    return plan.embedded(documents(spark, sf_dir).select("doc_id", "text"), embedding.HashingEncoder,
-                         key="doc_id", text="text").drop("text")
+    # Sorted first: the documents lie in few files, and the encoder's work is spread with them.
+    ordered = sort_by_id(documents(spark, sf_dir).select("doc_id", "text"), "doc_id")
+    return plan.embedded(ordered, embedding.HashingEncoder, text="text").drop("text")
 
 
 @query(f"{HASHED} SELECT doc_id, dim, weight FROM hashed")

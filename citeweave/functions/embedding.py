@@ -115,5 +115,14 @@ def embedding_wide(frame: DataFrame, column: str = "embedding",
 
 def attach_vectors(frame: DataFrame, vectors: DataFrame, key: str, vector_key: str,
                    vector: str = "embedding") -> DataFrame:
-    """Rows with precomputed vectors by key; null where there is none."""
-    return frame.join(vectors.select(F.col(vector_key).alias(key), F.col(vector)), key, "left")
+    """Rows with precomputed vectors by key; null where there is none.
+
+    Of several vectors of a key the smallest counts, so no row is repeated.  Rows without
+    a key are not shuffled.
+    """
+    # The aggregate lies by key, as the join needs it.
+    single = (vectors.select(F.col(vector_key).alias(key), F.col(vector)).where(F.col(key).isNotNull())
+              .groupBy(key).agg(F.min(vector).alias(vector)))
+    keyed = frame.where(F.col(key).isNotNull()).join(single, key, "left").select(*frame.columns, vector)
+    kind = vectors.schema[vector].dataType
+    return keyed.unionByName(frame.where(F.col(key).isNull()).withColumn(vector, F.lit(None).cast(kind)))

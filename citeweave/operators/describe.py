@@ -18,15 +18,24 @@ def _widened(lo: Column, hi: Column) -> tuple[Column, Column]:
 
 
 def _numbers(columns: Sequence[str]) -> list[Column]:
-    return [F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")) for c in columns]
+    """The finite values of each column."""
+    cells = [F.col(f"`{c}`").cast("double") for c in columns]
+    return [F.when(F.abs(cell) < float("inf"), cell) for cell in cells]
+
+
+def _infinite(column: str) -> Column:
+    return F.count_if(F.abs(F.col(f"`{column}`").cast("double")) == float("inf"))
 
 
 def _ranges(frame: DataFrame, columns: Sequence[str]) -> Column:
     """Row count and value range of each column as a scalar subquery: one row, one scan."""
     ranges = []
-    for number in _numbers(columns):
+    for column, number in zip(columns, _numbers(columns), strict=True):
         lo, hi = _widened(F.min(number), F.max(number))
-        ranges.append(F.struct(lo.alias("lo"), hi.alias("hi")))
+        infinite = _infinite(column)
+        missing = F.count("*") - F.count(number) - infinite
+        ranges.append(F.struct(lo.alias("lo"), hi.alias("hi"), missing.alias("n_missing"),
+                               infinite.alias("n_infinite")))
     return frame.agg(F.struct(F.count("*").alias("n_rows"), F.array(*ranges).alias("of"))
                      .alias("ranges")).scalar()
 
@@ -42,17 +51,20 @@ def _with_bin(valued: DataFrame, bins: int) -> DataFrame:
               .when((guess < bins - 1) & (value >= lo + (guess + 1) * width), guess + 1)
               .otherwise(guess))
     return (valued.where("value IS NOT NULL")
-            .withColumn("width", (F.col("hi") - lo) / bins)
-            .withColumn("guess", F.least(F.floor((value - lo) / width), F.lit(bins - 1)))
+            .withColumn("width", F.col("hi") / bins - lo / bins)  # the range itself may be too wide for a double
+            .withColumn("guess", F.greatest(F.least(F.floor(
+                F.try_divide(value, width) - F.try_divide(lo, width)), F.lit(bins - 1)), F.lit(0)))
             .withColumn("bin", placed))
 
 
 def histograms(frame: DataFrame, columns: Sequence[str], bins: int = BINS) -> DataFrame:
     """Equal-width histogram of each column, empty bins included.
 
-    Rows ``(column_name, bin, bin_start, bin_end, n, n_rows)``; ``n_rows`` counts all
-    rows of the table, also those without a value.  Two scans of these columns
-    serve all of them, and no more than ``bins`` rows for each leave the tasks.
+    Rows ``(column_name, bin, bin_start, bin_end, n, n_missing, n_infinite, n_rows)``.
+    Finite values are binned; ``n_missing`` counts nulls and NaN, ``n_infinite`` the infinite
+    ones, so that they and all ``n`` of a column add up to ``n_rows``, the rows of the table.
+    Two scans of these columns serve all of them, and no more than ``bins`` rows for each
+    leave the tasks.
     """
     ranges = _ranges(frame, columns)
     cells = F.array(*[
@@ -69,7 +81,7 @@ def histograms(frame: DataFrame, columns: Sequence[str], bins: int = BINS) -> Da
     grid = (frame.sparkSession.range(bins).withColumnRenamed("id", "bin")
             .select("bin", F.explode(outlines).alias("outline")).select("bin", "outline.*")
             .select("bin", "place", "column_name", "range.*", "n_rows"))
-    width = (F.col("hi") - F.col("lo")) / bins
+    width = F.col("hi") / bins - F.col("lo") / bins
     # One row for each bin and column on either side: safe to broadcast.
     return grid.join(F.broadcast(counts), ["place", "bin"], "left").select(
         "column_name", "bin",
@@ -77,7 +89,7 @@ def histograms(frame: DataFrame, columns: Sequence[str], bins: int = BINS) -> Da
         F.when(F.col("bin") == bins - 1, F.col("hi"))
         .otherwise(F.col("lo") + (F.col("bin") + 1) * width).alias("bin_end"),
         F.coalesce("n", F.lit(0)).cast("bigint").alias("n"),
-        "n_rows")
+        "n_missing", "n_infinite", "n_rows")
 
 
 def year_density(frame: DataFrame, column: str, year: str = "publication_year",

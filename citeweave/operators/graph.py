@@ -108,10 +108,23 @@ def status_counts(ledger: DataFrame) -> DataFrame:
     return ledger.groupBy("status").agg(F.count("*").alias("n"))
 
 
+def _references_of(lists: DataFrame, layer: DataFrame) -> DataFrame:
+    """Edges ``(src, dst)`` out of the works of a layer.
+
+    ``lists`` has either ``src, dst`` or ``id, referenced_works``.  Lists are joined whole
+    and only those that match are exploded.
+    """
+    if "dst" in lists.columns:
+        return lists.join(layer.select(F.col("id").alias("src")), "src", "left_semi")
+    return citation_edges(lists.join(layer.select("id"), "id", "left_semi"), "id", "referenced_works")
+
+
 def expand_references(seed: DataFrame, edges: DataFrame, available: DataFrame, hops: int = 1, *,
                       seed_id: str = "id_OpenAlex", available_id: str = "id_OpenAlex") -> DataFrame:
     """Works reached from ``seed`` along ``edges``: ``(id, hop)``, the seed at hop 0.
 
+    ``edges`` has ``src, dst`` or, better, whole lists as ``id, referenced_works``.
+
     Each hop takes what the last one added, follows its references, leaves out
     what is held and keeps what ``available`` has.  A hop is written out before
     the next begins, so the plan stays short and a lost executor costs one hop.
@@ -121,8 +134,7 @@ def expand_references(seed: DataFrame, edges: DataFrame, available: DataFrame, h
     obtainable = _distinct_keys(available, available_id, "id")
     for hop in range(1, hops + 1):
         held = reduce(DataFrame.unionByName, layers)
-        followed = edges.join(layers[-1].select(F.col("id").alias("src")), "src", "left_semi")
-        found = (reference_frontier(followed, held, "id")
+        found = (reference_frontier(_references_of(edges, layers[-1]), held, "id")
                  .join(obtainable, "id", "left_semi")
                  .withColumn("hop", F.lit(hop)))
         layer = staged(found, f"hop{hop}")

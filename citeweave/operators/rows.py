@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -40,16 +41,28 @@ def contract_report(frame: DataFrame, contract: T.StructType) -> DataFrame:
     """One row per column of the contract or the table: what keeps it from fitting.
 
     ``problem`` is ``missing``, ``extra``, ``type`` (another type, though every
-    value converts), ``values`` (some value does not convert) or null.
+    value converts, or one that none converts from), ``values`` (some value does not
+    convert) or null.
     """
     spark = frame.sparkSession
     present = {field.name: field.dataType for field in frame.schema}
     shared = [field for field in contract if field.name in present]
 
+    def castable(field: T.StructField) -> bool:
+        try:
+            frame.select(F.col(f"`{field.name}`").try_cast(field.dataType))
+        except AnalysisException:
+            return False
+        return True
+
+    casts = {field.name: castable(field) for field in shared}
+
     def unfit(field: T.StructField) -> Column:
         if present[field.name] == field.dataType:
             return F.lit(0).cast("bigint")
         cell = F.col(f"`{field.name}`")
+        if not casts[field.name]:
+            return F.count(cell)
         return F.count_if(cell.isNotNull() & cell.try_cast(field.dataType).isNull())
 
     def line(name: str, expected: str | None, found: str | None, values: Column, bad: Column,
@@ -69,7 +82,8 @@ def contract_report(frame: DataFrame, contract: T.StructType) -> DataFrame:
     lines = []
     for i, field in enumerate(shared):
         same = present[field.name] == field.dataType
-        problem = F.when(F.col(f"unfit_{i}") > 0, "values").when(F.lit(not same), "type")
+        problem = F.when(F.lit(not casts[field.name]), "type").when(F.col(f"unfit_{i}") > 0, "values").when(
+            F.lit(not same), "type")
         lines.append(line(field.name, field.dataType.simpleString(),
                           present[field.name].simpleString(),
                           F.col(f"values_{i}"), F.col(f"unfit_{i}"), problem))

@@ -12,8 +12,6 @@ from citeweave.functions.ids import last_segment
 from citeweave.functions.text import collapse_whitespace
 from citeweave.sources.tables import staged
 
-# Fixed value: most works one search (journal, year) returns.
-SEARCH_CAP = 1000
 # Groups are first capped in this many parts, then as a whole.
 CAP_PARTS = 64
 
@@ -32,8 +30,7 @@ def filter_year_range(works: DataFrame, start: int, end: int,
     return works.where(F.col(year).between(min(start, end), max(start, end)))
 
 
-def cap_per_group(frame: DataFrame, group: Sequence[str], order: Sequence[str],
-                  cap: int = SEARCH_CAP) -> DataFrame:
+def cap_per_group(frame: DataFrame, group: Sequence[str], order: Sequence[str], cap: int) -> DataFrame:
     """The first ``cap`` rows of each group in ``order``.
 
     A large group is capped in parts before its parts meet in one task, which
@@ -73,11 +70,10 @@ def journal_lookup(names: DataFrame, journals: DataFrame) -> DataFrame:
             .where("journal_id IS NOT NULL"))
 
 
-def search_works(works: DataFrame, requests: DataFrame, cap: int = SEARCH_CAP) -> DataFrame:
-    """Hits ``(journal_id, publication_year, id_OpenAlex, doi)`` of many searches at once.
+def search_works(works: DataFrame, requests: DataFrame) -> DataFrame:
+    """All hits ``(journal_id, publication_year, id_OpenAlex, doi)`` of many searches at once.
 
-    ``requests`` holds ``(journal_id, publication_year)``; ``works`` are nested
-    records.  Each search returns at most ``cap`` works, smallest id first.
+    ``requests`` holds ``(journal_id, publication_year)``; ``works`` are nested records.
     """
     places = F.array_distinct(F.filter(
         F.transform("locations", lambda place: last_segment(place["source"]["id"])),
@@ -86,8 +82,7 @@ def search_works(works: DataFrame, requests: DataFrame, cap: int = SEARCH_CAP) -
     asked = staged(requests.select(
         last_segment(F.col("journal_id")).alias("journal_id"),
         F.col("publication_year").cast("int").alias("publication_year")).distinct(), "requests")
-    hits = (works
+    return (works
             .select(F.explode(places).alias("journal_id"), "publication_year",
                     F.col("id").alias("id_OpenAlex"), "doi")
             .join(asked, ["journal_id", "publication_year"], "left_semi"))
-    return cap_per_group(hits, ["journal_id", "publication_year"], ["id_OpenAlex"], cap)

@@ -7,19 +7,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from citeweave.functions.dates import (
-    FIRST_DAY,
-    LAST_DAY,
     day_of,
     epoch_nanos,
     in_range,
     written_as_day,
     year_of,
 )
-
-# Steps per e-fold of the value scale that the median search first counts on.
-SCALE_STEPS = 1024
-# Stands below every step, for rows without a value.
-NO_VALUE = -(2**63)
+from citeweave.sources.tables import staged
 
 
 def parse_dates(works: DataFrame, column: str = "publication_date") -> DataFrame:
@@ -32,12 +26,6 @@ def parse_dates(works: DataFrame, column: str = "publication_date") -> DataFrame
                           "publication_date_int": epoch_nanos(F.col(column))}))
 
 
-def _calendar_year(year: Column) -> Column:
-    """The year, which must lie in the range of valid days; so there are under 600 of them."""
-    return F.when(year.between(FIRST_DAY.year, LAST_DAY.year), year).otherwise(
-        F.raise_error(F.concat(F.lit("year outside the range of dates: "), year.cast("string"))))
-
-
 def _number(value: Column) -> Column:
     return F.nanvl(value.cast("double"), F.lit(None).cast("double"))
 
@@ -47,37 +35,37 @@ def median_per_year(works: DataFrame, value: str = "citation_count_OpenAlex",
                     name: str = "median_citation_count_year") -> DataFrame:
     """Exact median (mean of the middle two) per year; null and NaN are not counted.
 
-    A year may hold a large part of all rows and nearly as many distinct values,
-    so no task gets all of a year.  Equal values are counted together; counts per
-    step of a fixed logarithmic scale, at most a few thousand a year in practice,
-    locate the step that holds the middle ranks; only that step is ranked exactly.
+    A year may hold a large part of all rows and nearly as many distinct values, so no
+    task gets all of a year.  Equal values are counted together and dealt out by range of
+    year and value; the counts of the ranges tell which of them hold the middle ranks,
+    and only those are ranked.  The ranges are a written table, so that both passes see
+    the same ones.
     """
     counted = (works.where(F.col(year).isNotNull())
-               .select(_calendar_year(F.col(year)).alias("_year"), _number(F.col(value)).alias("_value"))
-               .groupBy("_year", "_value").agg(F.count("*").alias("_n"))
-               .withColumn("_step", F.coalesce(
-                   F.floor(F.signum("_value") * F.log1p(F.abs("_value")) * SCALE_STEPS),
-                   F.lit(NO_VALUE))))
+               .select(F.col(year).alias("_year"), _number(F.col(value)).alias("_value"))
+               .groupBy("_year", "_value").agg(F.count("*").alias("_n")))
+    ranged = staged(counted.repartitionByRange("_year", "_value").withColumn("_range", F.spark_partition_id()),
+                    "ranges")
 
     of_year = W.partitionBy("_year")
-    upto = F.sum("_valued").over(of_year.orderBy("_step").rowsBetween(W.unboundedPreceding, 0))
+    valued = F.when(F.col("_value").isNotNull(), F.col("_n")).otherwise(0)
+    upto = F.sum("_valued").over(of_year.orderBy("_range").rowsBetween(W.unboundedPreceding, 0))
     total = F.sum("_valued").over(of_year)
-    steps = (counted.groupBy("_year", "_step").agg(F.sum("_n").alias("_n"))
-             .withColumn("_valued", F.when(F.col("_step") != NO_VALUE, F.col("_n")).otherwise(0))
-             .select("_year", "_step", (upto - F.col("_valued")).alias("_before"),
-                     upto.alias("_upto"), total.alias("_total"))
-             .withColumns({"_low": F.greatest(F.floor((F.col("_total") - 1) / 2), F.lit(0)),
-                           "_high": F.floor(F.col("_total") / 2)})
-             # A year without any value keeps its row: its median is null.
-             .where("(_before <= _high AND _upto > _low) OR _total = 0")
-             .select("_year", "_step", "_before", "_low", "_high"))
-
-    # At most two steps a year and under 600 years: safe to broadcast.
-    inside = counted.join(F.broadcast(steps), ["_year", "_step"])
-    in_step = W.partitionBy("_year", "_step").orderBy("_value")
-    rank_upto = F.col("_before") + F.sum("_n").over(in_step.rowsBetween(W.unboundedPreceding, 0))
+    # One row for each year and range.
+    middle = (ranged.groupBy("_year", "_range").agg(F.sum(valued).alias("_valued"))
+              .select("_year", "_range", (upto - F.col("_valued")).alias("_before"),
+                      upto.alias("_upto"), total.alias("_total"))
+              .withColumns({"_low": F.greatest(F.floor((F.col("_total") - 1) / 2), F.lit(0)),
+                            "_high": F.floor(F.col("_total") / 2)})
+              # A year without any value keeps its row: its median is null.
+              .where("(_before <= _high AND _upto > _low) OR _total = 0")
+              .select("_year", "_range", "_before", "_low", "_high", "_total"))
+
+    inside = ranged.join(middle, ["_year", "_range"]).where("_value IS NOT NULL OR _total = 0")
+    in_range = W.partitionBy("_year", "_range").orderBy("_value")
+    rank_upto = F.col("_before") + F.sum("_n").over(in_range.rowsBetween(W.unboundedPreceding, 0))
     return (inside.withColumn("_upto", rank_upto)
-            .where("_upto - _n <= _high AND _upto > _low")
+            .where("(_upto - _n <= _high AND _upto > _low) OR _total = 0")
             .groupBy("_year")
             .agg(((F.min("_value") + F.max("_value")) / 2).alias(name))
             .withColumnRenamed("_year", year))
@@ -92,9 +80,10 @@ def add_yearly_stats(works: DataFrame, value: str = "citation_count_OpenAlex",
                      year: str = "publication_year") -> DataFrame:
     """Each work with its year's median and the above-median flag.
 
-    The medians are one row for each calendar year, so the works are not shuffled.
+    The medians are a written table of known size: with few years, as of a calendar, Spark
+    sends them to the works, which then are not shuffled.
     """
-    medians = median_per_year(works, value, year)
-    return (works.join(F.broadcast(medians), year, "left")
+    medians = staged(median_per_year(works, value, year), "medians")
+    return (works.join(medians, year, "left")
             .withColumn("higher_than_median_year",
                         above_median(F.col(value), F.col("median_citation_count_year"))))

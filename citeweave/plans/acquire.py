@@ -15,7 +15,7 @@ from citeweave.operators.graph import (
     novel_candidates,
     reference_frontier,
 )
-from citeweave.operators.search import SEARCH_CAP, journal_lookup, search_works
+from citeweave.operators.search import cap_per_group, journal_lookup, search_works
 from citeweave.sources.tables import staged
 from citeweave.sources.works_json import DEFAULT_FIELDS, flatten_works
 
@@ -23,6 +23,8 @@ from citeweave.sources.works_json import DEFAULT_FIELDS, flatten_works
 class Acquired(NamedTuple):
     works: DataFrame
     references: DataFrame
+    # New hits of each search that a cap has left for a later run: journal_id, publication_year, n.
+    left_out: DataFrame
 
 
 def requests_for(names: DataFrame, journals: DataFrame, start: int, end: int) -> DataFrame:
@@ -33,29 +35,36 @@ def requests_for(names: DataFrame, journals: DataFrame, start: int, end: int) ->
 
 
 def acquire(snapshot: DataFrame, requests: DataFrame, held: DataFrame,
-            held_references: DataFrame, cap: int = SEARCH_CAP,
+            held_references: DataFrame, cap: int | None = None,
             fields: Sequence[str] = DEFAULT_FIELDS) -> Acquired:
     """Flat rows of newly found works and of the works they reference.
 
     ``snapshot`` holds nested works; ``held`` and ``held_references`` hold
-    ``(doi, id_OpenAlex)`` of what was landed before.
+    ``(doi, id_OpenAlex)`` of what was landed before.  With ``cap`` each search gives at
+    most so many works that are not held yet, smallest id first; a repeated run goes
+    on with the rest.
     """
-    hits = search_works(snapshot, requests, cap).select("id_OpenAlex", "doi")
-    # Written out: both results start from these ids, and the search is not run twice.
-    wanted = staged(novel_candidates(hits, held), "wanted")
+    search = ["journal_id", "publication_year"]
+    # Written out: all results start from these ids, and the search is not run twice.
+    novel = staged(novel_candidates(search_works(snapshot, requests), held), "novel")
+    wanted = novel if cap is None else staged(cap_per_group(novel, search, ["id_OpenAlex"], cap), "wanted")
+    counts = novel.groupBy(*search).agg(F.count("*").alias("n"))
+    left_out = (counts.withColumn("n", F.col("n") - F.lit(cap)) if cap is not None else counts.limit(0)).where("n > 0")
     found = lookup(snapshot, wanted, key="id", ids_column="id_OpenAlex")
     frontier = reference_frontier(citation_edges(found, "id", "referenced_works"), held_references)
     referenced = lookup(snapshot, frontier, key="id")
-    return Acquired(flatten_works(found, fields), flatten_works(referenced, fields))
+    return Acquired(flatten_works(found, fields), flatten_works(referenced, fields), left_out)
 
 
 def expand(snapshot: DataFrame, seed: DataFrame, hops: int = 1,
            fields: Sequence[str] = DEFAULT_FIELDS) -> DataFrame:
     """Flat rows of the works reached from ``seed`` in up to ``hops`` steps, with the step.
 
-    Steps run on ids and reference lists alone; full records are read once.
+    Steps run on ids and reference lists, which are written to a table of their own;
+    full records are read once more at the end.
     """
-    edges = citation_edges(snapshot, "id", "referenced_works")
-    reached = expand_references(seed, edges, snapshot, hops, available_id="id").where("hop > 0")
-    flat = flatten_works(lookup(snapshot, reached, key="id"), fields)
-    return flat.join(reached.withColumnRenamed("id", "id_OpenAlex"), "id_OpenAlex")
+    # The slim part is read from the snapshot once and serves all steps.
+    lists = staged(snapshot.select("id", "referenced_works"), "lists")
+    reached = staged(expand_references(seed, lists, lists, hops, available_id="id").where("hop > 0"), "reached")
+    records = snapshot.join(reached.withColumnRenamed("id", "_reached"), F.col("id") == F.col("_reached"))
+    return flatten_works(records, [*fields, "hop"])

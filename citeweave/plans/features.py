@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeweave.functions.embedding import Encoder, embed_text
+from citeweave.functions.embedding import Encoder, embed_text, embedding_wide
 from citeweave.functions.ids import work_number
 from citeweave.functions.text import clean_text, title_abstract
 from citeweave.operators.yearly import add_yearly_stats, parse_dates
@@ -13,6 +13,9 @@ from citeweave.schemas import FEATURE_WORK
 from citeweave.sources.tables import read_table, sort_by_id, write_table
 from citeweave.sources.works_json import trim_column_names
 
+# Rows of the feature table that one task encodes and writes.
+ROWS_PER_TASK = 50_000
+
 
 def add_title_abstract(works: DataFrame, title: str = "title",
                        abstract: str = "abstract_OpenAlex") -> DataFrame:
@@ -23,31 +26,47 @@ def add_title_abstract(works: DataFrame, title: str = "title",
             .withColumn("title_abstract", clean_text(F.col("title_abstract"))))
 
 
-def features(works: DataFrame) -> DataFrame:
-    """Integer id, dates, yearly citation statistics and cleaned text."""
+def dated_works(works: DataFrame) -> DataFrame:
+    """Integer id, dates and yearly citation statistics."""
     dated = parse_dates(trim_column_names(works).withColumn(
         "id_OpenAlex", work_number(F.col("id_OpenAlex"))))
-    return add_title_abstract(add_yearly_stats(dated))
+    return add_yearly_stats(dated)
 
 
-def embedded(works: DataFrame, encoder: type[Encoder], *args, key: str = "id_OpenAlex",
-             text: str = "title_abstract", within: str | None = None,
-             partitions: int | None = None) -> DataFrame:
-    """Sorted by ``key``, with the embedding of ``text``.
+def features(works: DataFrame) -> DataFrame:
+    """Integer id, dates, yearly citation statistics and cleaned text."""
+    return add_title_abstract(dated_works(works))
+
 
-    The range partitioning of the sort also spreads the encoder's work, over
-    ``partitions`` tasks, by default the session's number of shuffle partitions:
-    texts are small next to the time a model takes for them, so their size is no
-    measure for the number of tasks.
+def sorted_features(works: DataFrame, within: str | None = None, partitions: int | None = None) -> DataFrame:
+    """:func:`features` sorted by id.
+
+    Rows are dealt out before their texts are joined and cleaned: range partitioning
+    samples its input, so what stands below it is evaluated twice, and the cleaned text
+    would travel beside title and abstract.  Works without text are left out below it.
     """
-    partitions = partitions or int(works.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = sort_by_id(works, key, within, partitions)
-    return ordered.withColumn("embedding", embed_text(F.col(text), encoder, *args))
+    has_text = title_abstract(F.col("title"), F.col("abstract_OpenAlex")).isNotNull()
+    ordered = sort_by_id(dated_works(works).where(has_text), "id_OpenAlex", within, partitions)
+    return add_title_abstract(ordered)
+
+
+def tasks_for(works: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> int:
+    """Number of tasks for a table, from its rows: Parquet files tell their number without being read."""
+    return max(1, -(-works.count() // rows_per_task))
+
+
+def embedded(works: DataFrame, encoder: type[Encoder], *args, text: str = "title_abstract") -> DataFrame:
+    """With the embedding of ``text``; the encoder runs in the tasks that hold the rows."""
+    return works.withColumn("embedding", embed_text(F.col(text), encoder, *args))
 
 
 def feature_journal(spark: SparkSession, integrated_root: str, journal: str, out_root: str,
-                    encoder: type[Encoder], *args, by_year: bool = False) -> None:
-    works = features(read_table(spark, f"{integrated_root}/{journal}"))
+                    encoder: type[Encoder], *args, by_year: bool = False, wide: bool = False) -> None:
+    integrated = read_table(spark, f"{integrated_root}/{journal}")
     partition_by = "publication_year" if by_year else None
-    write_table(embedded(works, encoder, *args, within=partition_by),
-                f"{out_root}/{journal}/parquet", FEATURE_WORK, partition_by)
+    # No fewer tasks than the session asks for: an encoder takes long for little data.
+    tasks = max(tasks_for(integrated), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    done = embedded(sorted_features(integrated, partition_by, tasks), encoder, *args)
+    if wide:
+        done = embedding_wide(done)
+    write_table(done, f"{out_root}/{journal}/parquet", FEATURE_WORK, partition_by)

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from citeweave.operators.rows import drop_null_key, keep_first
 from citeweave.schemas import INTEGRATED_WORK, RAW_WORK
-from citeweave.sources.landing import ORIGIN, journal_folders, read_landing
+from citeweave.sources.landing import ORIGIN, bad_cells, journal_folders, read_text_cells, type_cells
 from citeweave.sources.tables import write_table
 
 
@@ -17,6 +17,8 @@ def integrate(landed: DataFrame, key: str = "id_OpenAlex") -> DataFrame:
 
 
 def integrate_journal(spark: SparkSession, landing_root: str, journal: str, out_root: str,
-                      contract: T.StructType = RAW_WORK) -> None:
-    landed = read_landing(spark, journal_folders(landing_root, journal), contract)
-    write_table(integrate(landed), f"{out_root}/{journal}", INTEGRATED_WORK)
+                      contract: T.StructType = RAW_WORK, *, multi_line: bool = True) -> DataFrame:
+    """Write a journal's table; returns the ledger of cells that do not fit the contract."""
+    cells = read_text_cells(spark, journal_folders(landing_root, journal), multi_line=multi_line)
+    write_table(integrate(type_cells(cells, contract)), f"{out_root}/{journal}", INTEGRATED_WORK)
+    return bad_cells(cells, contract)

@@ -22,6 +22,8 @@ SETTINGS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Also limits of more than a thousand rows per group act before the shuffle.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
     # Encoder batches: rows per Arrow batch, so long texts do not pile up.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }

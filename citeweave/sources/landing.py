@@ -33,7 +33,10 @@ CSV_WRITE = {
     "ignoreTrailingWhiteSpace": "false",
 }
 # Columns that put landed rows in their total order.
-ORIGIN = ["origin_rank", "origin_file", "origin_block", "origin_row"]
+ORIGIN = ["origin_rank", "origin_time", "origin_file", "origin_block", "origin_row"]
+# How numbers are written in a cell; other spellings that a cast would take are bad cells.
+WHOLE_NUMBER = r"^\s*[+-]?\d+(\.0*)?([eE][+-]?\d+)?\s*$"
+NUMBER = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def _present(cell: Column) -> Column:
@@ -43,8 +46,10 @@ def _present(cell: Column) -> Column:
 def _typed(cell: Column, kind: T.DataType) -> Column:
     """``cell`` in the contract's type; whole numbers may be written like ``12.0``."""
     if isinstance(kind, T.IntegerType):
-        number = cell.try_cast("double")  # holds every int exactly
+        number = F.when(cell.rlike(WHOLE_NUMBER), cell).try_cast("double")  # holds every int exactly
         return F.when(number == F.rint(number), number.try_cast(kind))
+    if isinstance(kind, T.DoubleType):
+        return F.when(cell.rlike(NUMBER), cell).try_cast(kind)
     return cell if isinstance(kind, T.StringType) else cell.try_cast(kind)
 
 
@@ -66,7 +71,8 @@ def read_text_cells(spark: SparkSession, folders: Sequence[str], *, multi_line:
                     recursive: bool = False) -> DataFrame:
     """All ``*.csv`` of the folders, every cell as text, matched by column name.
 
-    The :data:`ORIGIN` columns give folder rank, file and place in the file.
+    The :data:`ORIGIN` columns give folder rank, landing time, file and place in the file.
+    File names of a batch are random, so batches follow each other by the time they landed.
     Set ``multi_line`` to False where no cell holds a line break: large files
     can then be split between tasks.
     """
@@ -79,6 +85,7 @@ def read_text_cells(spark: SparkSession, folders: Sequence[str], *, multi_line:
         frames.append(text.select(
             *cells,
             F.lit(rank).alias("origin_rank"),
+            F.col("_metadata.file_modification_time").alias("origin_time"),
             F.col("_metadata.file_path").alias("origin_file"),
             F.col("_metadata.file_block_start").alias("origin_block"),
             F.monotonically_increasing_id().alias("origin_row"),
@@ -140,6 +147,12 @@ def no_known_ids(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], KNOWN_IDS)
 
 
+def landed_header(spark: SparkSession, folder: str) -> list[str]:
+    """Column names of the CSV files of a folder (not of its sub-folders); empty if it has none."""
+    text = _read_text(spark, folder, multi_line=True, recursive=False)
+    return [] if text is None else text.columns
+
+
 def as_cells(frame: DataFrame) -> DataFrame:
     """Nested columns as JSON text, so that the row fits a CSV line."""
     nested = (T.StructType, T.ArrayType, T.MapType)

@@ -9,12 +9,12 @@ from pyspark.sql import types as T
 
 from citeweave.operators.rows import drop_null_key, keep_first
 from citeweave.schemas import RAW_WORK
-from citeweave.sources.landing import CSV_READ, ORIGIN, type_cells
+from citeweave.sources.landing import CSV_READ, ORIGIN, SUBFOLDERS, landed_header, type_cells
 
 
 def held_keys(spark: SparkSession, target: str, key: str) -> DataFrame | None:
     try:
-        return spark.read.parquet(target).select(key).where(F.col(key).isNotNull()).distinct()
+        return spark.read.parquet(target).select(key).where(F.col(key).isNotNull())
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
@@ -35,23 +35,16 @@ def append_new(batch: DataFrame, target: str, key: str = "id_OpenAlex") -> None:
     fresh.write.mode("append").parquet(target)
 
 
-def ingest_landing(spark: SparkSession, landing: str, target: str, checkpoint: str,
-                   contract: T.StructType = RAW_WORK, key: str = "id_OpenAlex", *,
-                   header: T.StructType | None = None) -> None:
-    """Process the CSV files landed since the last call, then return.
-
-    ``header`` gives the columns of the landed files in their order where they
-    are not those of ``contract``; a file with another order is an error.  The
-    checkpoint folder remembers which files are done.
-    """
-    columns = (header or contract).names
+def _ingest_folder(spark: SparkSession, folder: str, rank: int, columns: list[str], target: str,
+                   checkpoint: str, contract: T.StructType, key: str, multi_line: bool) -> None:
     landed = (spark.readStream
               .schema(T.StructType([T.StructField(name, T.StringType()) for name in columns]))
-              .options(**CSV_READ).option("multiLine", True).option("pathGlobFilter", "*.csv")
-              .csv(landing))
+              .options(**CSV_READ).option("multiLine", multi_line).option("pathGlobFilter", "*.csv")
+              .csv(folder))
     placed = landed.select(
-        "*",
-        F.lit(0).alias("origin_rank"),
+        *[F.col(f"`{name}`").alias(name.strip()) for name in columns],
+        F.lit(rank).alias("origin_rank"),
+        F.col("_metadata.file_modification_time").alias("origin_time"),
         F.col("_metadata.file_path").alias("origin_file"),
         F.col("_metadata.file_block_start").alias("origin_block"),
     )
@@ -66,3 +59,23 @@ def ingest_landing(spark: SparkSession, landing: str, target: str, checkpoint: s
              .trigger(availableNow=True)
              .start())
     query.awaitTermination()
+
+
+def ingest_landing(spark: SparkSession, landing: str, target: str, checkpoint: str,
+                   contract: T.StructType = RAW_WORK, key: str = "id_OpenAlex", *,
+                   header: T.StructType | None = None, multi_line: bool = True) -> None:
+    """Process the CSV files landed since the last call, then return.
+
+    ``landing`` is a journal's folder; its sub-folders follow it in the order that decides
+    which copy of a work is kept.  A copy taken in by an earlier call stays.  The files of
+    a folder have one header, taken from them unless ``header`` names it; a file with
+    another order of columns is an error.  Below the checkpoint folder each sub-folder
+    remembers which of its files are done.
+    """
+    for rank, sub in enumerate(SUBFOLDERS):
+        folder = f"{landing}/{sub}".rstrip("/")
+        present = landed_header(spark, folder)
+        if present:
+            columns = header.names if header else present
+            _ingest_folder(spark, folder, rank, columns, target, f"{checkpoint}/{sub or 'main'}", contract, key,
+                           multi_line)

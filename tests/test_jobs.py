@@ -41,6 +41,16 @@ def test_all_stages(spark, tmp_path):
     main(["expand", "--snapshot", f"{tmp_path}/snapshot.jsonl", *landing, "--hops", "2"])
     assert landed("references") == ["4", "5", "6", "7"]
     main(["integrate", *landing, "--out", f"{tmp_path}/db"])
+    main(["ingest", "--landing", f"{tmp_path}/in/cell", "--out", f"{tmp_path}/taken", "--checkpoint", f"{tmp_path}/state"])
+    main(["ingest", "--landing", f"{tmp_path}/in/cell", "--out", f"{tmp_path}/taken", "--checkpoint", f"{tmp_path}/state"])
+    both = [sorted(r[0] for r in spark.read.parquet(f"{tmp_path}/{t}").select("id_OpenAlex").collect())
+            for t in ("db/cell", "taken")]
+    assert both[0] == both[1] and len(both[0]) == 6
+    assert spark.read.parquet(f"{tmp_path}/db/cell-bad-cells").count() == 0
+    (tmp_path / "ids.txt").write_text("https://doi.org/10.1/7\n10.1/404\n")
+    main(["details", "--snapshot", f"{tmp_path}/snapshot.jsonl", "--ids", f"{tmp_path}/ids.txt",
+          "--landing", f"{tmp_path}/in", "--label", "asked", "--by", "doi"])
+    assert [r.id for r in spark.read.parquet(f"{tmp_path}/in/asked/ledger/not_found").collect()] == ["10.1/404"]
     main(["features", "--integrated", f"{tmp_path}/db", "--label", "cell", "--out", f"{tmp_path}/features"])
     main(["describe", "--features", f"{tmp_path}/features/cell/parquet", "--out", f"{tmp_path}/figures"])
     table = spark.read.parquet(f"{tmp_path}/features/cell/parquet")

@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 
 from citeweave.functions.embedding import attach_vectors
 from citeweave.operators import describe, graph, rows, search, yearly
+from citeweave.plans.acquire import acquire
+from citeweave.schemas import WORK_JSON
 
 
 def collected(frame, *columns):
@@ -42,9 +44,64 @@ def test_median_equals_plain_python(spark, seed):
     assert medians(spark, pairs) == {y: median(vs) for y, vs in by_year.items()}
 
 
-def test_median_rejects_impossible_years(spark):
-    with pytest.raises(Exception, match="year outside the range"):
-        medians(spark, [(1200, 1.0)])
+def test_median_of_any_year_and_of_a_narrow_band(spark):
+    """Nearly equal values, all distinct, are ranked in ranges like any others."""
+    band = [1e9 + i for i in range(20_001)]
+    pairs = [(1500, v) for v in band] + [(9999, 1.0), (9999, float("inf")), (-3, None)]
+    assert medians(spark, pairs) == {1500: 1e9 + 10_000, 9999: float("inf"), -3: None}
+    frame = spark.createDataFrame(pairs, "publication_year bigint, citation_count_OpenAlex double")
+    staged_ranges = []
+    plain = yearly.staged
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yearly.staged = lambda made, step: staged_ranges.append(plain(made, step)) or staged_ranges[-1]
+    try:
+        yearly.median_per_year(frame).collect()
+    finally:
+        yearly.staged = plain
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    sizes = [r["count"] for r in staged_ranges[0].groupBy("_range").count().collect()]
+    assert max(sizes) < len(band) / 2
+
+
+def test_capped_runs_land_every_work_in_the_end(spark):
+    url = "https://openalex.org/"
+    works = [{"id": f"{url}W{i}", "doi": f"10.1/{i}", "publication_year": 2020, "referenced_works": [],
+              "locations": [{"source": {"id": f"{url}S1"}}]} for i in range(5)]
+    snapshot = spark.createDataFrame(works, WORK_JSON)
+    requests = spark.createDataFrame([("S1", 2020)], "journal_id string, publication_year int")
+    held = [("none", "none")]
+    landed, left = [], []
+    for _ in range(4):
+        known = spark.createDataFrame(held, "doi string, id_OpenAlex string")
+        found = acquire(snapshot, requests, known, known, cap=2, fields=["id", "doi"])
+        new = [(r.doi, r.id_OpenAlex) for r in found.works.collect()]
+        held += new
+        landed.append(sorted(i.removeprefix(f"{url}W") for _, i in new))
+        left.append([r.n for r in found.left_out.collect()])
+    assert landed == [["0", "1"], ["2", "3"], ["4"], []] and left == [[3], [1], [], []]
+    plan = search.cap_per_group(spark.range(9_000).withColumn("g", F.col("id") % 3), ["g"], ["id"], 1001)
+    assert "WindowGroupLimit" in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_histograms_account_for_every_row(spark):
+    for values in ([1.0, 2.0, float("inf")], [float("-inf"), 3.0, None, float("nan")], [-1e308, 0.0, 1e308],
+                   [float("inf")], [5e-324, 0.0]):
+        found = describe.histograms(spark.createDataFrame([(v,) for v in values], "x double"), ["x"], 4).collect()
+        assert sum(r.n for r in found) + found[0].n_missing + found[0].n_infinite == found[0].n_rows == len(values)
+        assert all(np.isfinite([r.bin_start, r.bin_end]).all() for r in found)
+
+
+def test_contract_report_on_a_column_that_cannot_be_cast(spark):
+    frame = spark.createDataFrame([([1],), (None,)], "x array<int>")
+    row = rows.contract_report(frame, T.StructType([T.StructField("x", T.LongType())])).first()
+    assert (row.n_values, row.n_unfit, row.problem) == (1, 1, "type")
+
+
+def test_attached_vectors_do_not_repeat_rows(spark):
+    frame = spark.createDataFrame([(1, "a"), (None, "b"), (2, "c")], "k bigint, t string")
+    vectors = spark.createDataFrame([(1, [0.5]), (1, [0.25]), (None, [9.0])], "v bigint, embedding array<float>")
+    assert collected(attach_vectors(frame, vectors, "k", "v"), "t", "embedding") == [
+        ("a", [0.25]), ("b", None), ("c", None)]
 
 
 def test_yearly_stats_keep_every_work(spark):

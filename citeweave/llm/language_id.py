@@ -3,16 +3,17 @@
 Each language has one character model of order four, fitted on a bounded sample of
 labelled documents and kept as sorted arrays of n-gram hashes with their probabilities.
 A word is scored with blanks at both ends, so the score of a text is the sum over its
-words, and each distinct word of a block of documents is scored once.  The language with
+words, and a task scores a word once for as long as it remembers it.  The language with
 the lowest cross-entropy per character is chosen; a text is rejected if even that one lies
 far above what texts of the language show, by a bound calibrated on the training sample.
 """
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -38,6 +39,8 @@ REJECT_DEVIATIONS = 8.0
 PROFILE_WORDS = 2_000
 SHORT_CHARS = 60  # the bound widens for texts of fewer characters
 SCORE_CHARS = 40  # evidence that a score counts, in characters
+# A task remembers the scores of words until it holds so many numbers, and then starts anew.
+KNOWN_SCORES = 1_000_000
 UNDETERMINED = "und"
 
 _LETTER_RUNS = re.compile(r"[^\W\d_]+")
@@ -148,6 +151,39 @@ def word_scores(model: Model, words: list[str]) -> np.ndarray:
     return np.add.reduceat(score, starts) if len(starts) else np.zeros(0)
 
 
+class _Numbers(dict):
+    """Word -> number, in order of first sight."""
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        return number
+
+
+class KnownWords:
+    """Words met so far with their log probability in each language; bounded between batches."""
+
+    def __init__(self, models: list[Model]):
+        self.models = models
+        self._forget()
+
+    def _forget(self) -> None:
+        self.numbers = _Numbers()
+        self.sizes = np.zeros(0, dtype=np.int64)
+        self.scores = np.zeros((0, len(self.models)))
+
+    def coded(self, texts: Iterable[list[str]]) -> list[np.ndarray]:
+        """The numbers of the words of each text; ``sizes`` and ``scores`` then hold all of them."""
+        if self.scores.size > KNOWN_SCORES:
+            self._forget()
+        codes = [np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words)) for words in texts]
+        fresh = list(itertools.islice(self.numbers, len(self.sizes), None))
+        if fresh:
+            sizes = np.fromiter(map(len, fresh), np.int64, len(fresh)) + 1
+            self.sizes = np.concatenate([self.sizes, sizes])
+            self.scores = np.concatenate([self.scores, np.stack([word_scores(m, fresh) for m in self.models], axis=1)])
+        return codes
+
+
 class Identifier:
     """The models of all languages; picklable, of bounded size."""
 
@@ -164,18 +200,14 @@ class Identifier:
                    for i, other in enumerate(self.models) if i != own and other.profile]
         return max([spread, *([model.mean + REJECT_SHARE * (min(foreign) - model.mean)] if foreign else [])])
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float], list[bool], list[float]]:
+    def predict(self, texts: list[str | None], known: KnownWords | None = None) -> tuple[
+            list[str], list[float], list[bool], list[float]]:
         """Language, score, acceptance and cross-entropy of each text of a batch."""
-        numbers: dict[str, int] = {}
-        coded = []
-        for text in texts:
-            words = letter_words(text) if text else []
-            coded.append(np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int64, len(words)))
-        if not self.languages or not numbers:
+        if not self.languages:
             return [UNDETERMINED] * len(texts), [0.0] * len(texts), [False] * len(texts), [0.0] * len(texts)
-        distinct = list(numbers)
-        sizes = np.fromiter(map(len, distinct), np.int64, len(distinct)) + 1
-        table = np.stack([word_scores(model, distinct) for model in self.models], axis=1)
+        known = known or KnownWords(self.models)
+        coded = known.coded(letter_words(text) if text else [] for text in texts)
+        sizes, table = known.sizes, known.scores
         labels, scores, accepted, entropies = [], [], [], []
         for own in coded:
             if not len(own):
@@ -284,8 +316,9 @@ def predicted(text: Column, identifier: Identifier, spark) -> Column:
     model = spark.sparkContext.broadcast(identifier)
 
     def predict(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known = KnownWords(model.value.models)
         for part in texts:
-            columns = model.value.predict(part.to_pylist())
+            columns = model.value.predict(part.to_pylist(), known)
             yield pa.StructArray.from_arrays(
                 [pa.array(values, type=field.type) for values, field in zip(columns, _PREDICTION_ARROW, strict=True)],
                 fields=list(_PREDICTION_ARROW))

@@ -73,10 +73,18 @@ class WordSplitter:
 
 # Entries that a task encodes at a time.
 ENCODED_ROWS = 20_000
-_IDS_ARROW = pa.schema([("block", pa.int64()), ("pos", pa.int32()), ("ids", pa.list_(pa.int32()))])
+_IDS_ARROW = pa.schema([("block", pa.int64()), ("pos", pa.int32()), ("ids", pa.binary())])
 
 
-def _encode(data: str):
+def _packed_ids(ids: list[list[int]], indices: pa.Array, unit: str) -> pa.Array:
+    """The ids of each entry as numbers of two or four bytes: shorter in a shuffle than arrays."""
+    taken = pa.array(ids, pa.list_(pa.int32())).take(indices)
+    flat = taken.values.to_numpy().astype(unit)
+    bounds = (taken.offsets.to_numpy() * flat.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(taken), [None, pa.py_buffer(bounds), pa.py_buffer(flat)])
+
+
+def _encode(data: str, unit: str):
     """Ids of dictionary entries in order of their words, each distinct word encoded once."""
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(data)
@@ -91,9 +99,9 @@ def _encode(data: str):
             encoded = tokenizer.encode_batch_fast([w.decode("utf-8") for w in words[first:]], add_special_tokens=False)
             ids = [last[1]][:first] + [one.ids for one in encoded]
             last = (words[-1], ids[-1])
-            taken = pa.array(ids, pa.list_(pa.int32())).take(entries.indices)
             return pa.RecordBatch.from_arrays(
-                [table.column("block").combine_chunks(), table.column("pos").combine_chunks(), taken], schema=_IDS_ARROW)
+                [table.column("block").combine_chunks(), table.column("pos").combine_chunks(),
+                 _packed_ids(ids, entries.indices, unit)], schema=_IDS_ARROW)
 
         held: list[pa.RecordBatch] = []
         for batch in batches:
@@ -122,17 +130,17 @@ _DIGEST_ARROW = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("i
                            ("decoded_sha256", pa.string())])
 
 
-def _assemble(pieces, digests: bool):
+def _assemble(pieces, unit: str, digests: bool):
     """A block's documents from its codes and its dictionary's ids, met by number."""
     def assemble(key: tuple, blocks: pa.Table, entries: pa.Table) -> pa.Table:
         if blocks.num_rows != 1:
             raise ValueError("the documents changed between two readings; write them to a table first")
         positions = entries.column("pos").to_numpy()
-        lists = entries.column("ids").combine_chunks()
-        flat, bounds = lists.values.to_numpy(), lists.offsets.to_numpy()
-        sizes = np.diff(bounds)
+        packed = entries.column("ids").to_pylist()
+        flat = np.frombuffer(b"".join(packed), dtype=unit)
+        sizes = np.fromiter(map(len, packed), dtype=np.int64, count=len(packed)) // flat.itemsize
         count_of, start_of = np.zeros((2, len(positions)), dtype=np.int64)
-        count_of[positions], start_of[positions] = sizes, bounds[:-1]
+        count_of[positions], start_of[positions] = sizes, np.cumsum(sizes) - sizes
         names = pieces.value
         decoded_of = [" ".join([names[i] for i in flat[start:start + n].tolist()])
                       for start, n in zip(start_of.tolist(), count_of.tolist(), strict=True)]
@@ -183,10 +191,11 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id
     split = WordSplitter(data)
     # The table of distinct words: all entries of a word lie together, one after another.
     entries = dictionaries(texts, split, block_bytes=block_bytes).select("block", "pos", "word")
-    joined = entries.repartition("word").sortWithinPartitions("word").mapInArrow(
-        _encode(data), "block bigint, pos int, ids array<int>")
     pieces = {row["id"]: row["piece"] for row in piece_table(spark, data).collect()}  # one entry per id of the vocabulary
-    assemble = _assemble(spark.sparkContext.broadcast(pieces), digests)
+    unit = "<u2" if max(pieces, default=0) < 1 << 16 else "<u4"
+    joined = entries.repartition("word").sortWithinPartitions("word").mapInArrow(
+        _encode(data, unit), "block bigint, pos int, ids binary")
+    assemble = _assemble(spark.sparkContext.broadcast(pieces), unit, digests)
     return coded(texts, split, block_bytes).groupBy("block").cogroup(joined.groupBy("block")).applyInArrow(
         assemble, _DIGEST if digests else _OUT)
 

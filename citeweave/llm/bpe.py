@@ -64,8 +64,9 @@ class WordSplitter:
         return words
 
     def _words(self, text: str) -> list[str]:
-        if text.isascii() or not _BEYOND_PLAIN.search(text):
-            return _PLAIN_WORDS.findall(text.lower())
+        low = text.lower()  # some capitals up to U+024F have their small letter beyond it
+        if text.isascii() or not (_BEYOND_PLAIN.search(text) or _BEYOND_PLAIN.search(low)):
+            return _PLAIN_WORDS.findall(low)
         tokenizer = _tokenizer(self._data)
         whole = tokenizer.normalizer.normalize_str(text)
         return [whole[start:end] for _, (start, end) in tokenizer.pre_tokenizer.pre_tokenize_str(whole)]

@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeweave.llm.bpe import encode_documents
+from citeweave.llm.centroids import cluster
 from citeweave.llm.chat_pairs import neighbour_pairs, preference_turns
 from citeweave.llm.exact_dedup import exact_duplicates
+from citeweave.llm.fill_middle import UNIT, fill_in_middle, restored
 from citeweave.llm.fingerprints import fingerprints
 from citeweave.llm.language_id import identify
 from citeweave.llm.line_dedup import without_repeated_lines
@@ -18,6 +20,7 @@ from citeweave.llm.lm_scoring import score_documents
 from citeweave.llm.minhash_dedup import near_duplicates
 from citeweave.llm.mixing import mix
 from citeweave.llm.pii import pseudonymised
+from citeweave.llm.token_files import documents_in, write_token_files
 
 TOKENIZER = "word_bpe_49k.json"
 # Stands for the secret that a deployment passes in.
@@ -76,9 +79,52 @@ def op10_chat_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preference_turns(turns, neighbour_pairs(turns))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle(_table(spark, sf_dir, "documents"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return documents_in(write_token_files(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER)))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {run.__name__: run for run in (
     op1_mix_sources, op2_line_dedup, op3_bpe, op4_pii_pseudonyms, op5_lm_scores, op6_fingerprints, op7_language,
-    op8_near_duplicates, op9_exact_duplicates, op10_chat_preferences)}
+    op8_near_duplicates, op9_exact_duplicates, op10_chat_preferences, op11_fill_middle, op12_token_files,
+    op13_centroids)}
+
+
+def _centroid_sql(rounds: int = 10) -> str:
+    """Each round as one assignment and one table of centroids; ``//`` cuts towards zero, so the rest is taken off first."""
+    steps = ["""kept AS MATERIALIZED (
+            SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+            FROM embeddings
+            WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64)""",
+             """c0 AS MATERIALIZED (
+            SELECT (row_number() OVER (ORDER BY h, v) - 1)::INTEGER AS k, v AS c
+            FROM (SELECT sha256('3:' || coalesce(vec_id::VARCHAR, '')) AS h, v FROM kept ORDER BY h, v LIMIT 8))"""]
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (
+            SELECT row, any_value(vec_id) AS vec_id, any_value(v) AS v, min(struct_pack(d := list_sum(list_transform(
+                list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT, k := k)) AS best
+            FROM kept, c{i} GROUP BY row)""")
+        if i < rounds:
+            steps.append(f"""c{i + 1} AS MATERIALIZED (
+            SELECT k, coalesce(fresh.c, old.c) AS c FROM c{i} AS old LEFT JOIN (
+                SELECT k, list((s - ((s % n) + n) % n) // n ORDER BY j)::BIGINT[] AS c
+                FROM (SELECT best.k AS k, j, sum(v[j]) AS s, count(*) AS n FROM a{i}, range(1, 65) AS t(j) GROUP BY ALL)
+                GROUP BY k) AS fresh USING (k))""")
+    return f"""
+        WITH {", ".join(steps)}
+        SELECT vec_id, best.k AS cluster, best.d AS distance, (sum(best.d) OVER (PARTITION BY best.k))::BIGINT AS cluster_inertia,
+            (sum(best.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+        FROM a{rounds} JOIN c{rounds} ON best.k = k"""
+
 
 SQL: dict[str, str] = {
     "op2_line_dedup": rf"""
@@ -128,4 +174,27 @@ SQL: dict[str, str] = {
             CASE WHEN part <> 'prompt' AND role = 'assistant' THEN 23 + length(role) + length(text) ELSE 0 END::INTEGER
                 AS learn_to
         FROM parts WHERE part <> 'prompt' OR side = 'chosen'""",
+    "op11_fill_middle": f"""
+        WITH bodies AS (
+            SELECT doc_id, coalesce(text, '') AS body, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS hex FROM documents),
+        units AS (
+            SELECT *, regexp_extract_all(body, '{UNIT}') AS u, ('0x' || hex[1:8])::BIGINT AS h1,
+                ('0x' || hex[9:16])::BIGINT AS h2, ('0x' || hex[17:24])::BIGINT AS h3, ('0x' || hex[25:32])::BIGINT AS h4
+            FROM bodies),
+        cuts AS (
+            SELECT *, len(u) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a,
+                greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+                CASE WHEN body = '' OR contains(body, '<P>') OR contains(body, '<S>') OR contains(body, '<M>')
+                    OR h3 % 100 >= 50 THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+            FROM units),
+        parts AS (
+            SELECT *, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m,
+                array_to_string(u[b + 1:n], '') AS s
+            FROM cuts)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+            CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+            sha256(CASE form WHEN 'plain' THEN body WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(body) AS restored_sha256
+        FROM parts""",
+    "op13_centroids": _centroid_sql(),
 }

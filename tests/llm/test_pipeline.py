@@ -27,4 +27,4 @@ def test_stages_on_no_documents(spark, tmp_path):
 
 def test_names():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11)) and set(SQL) <= set(QUERIES)
+    assert numbers == list(range(1, 14)) and set(SQL) <= set(QUERIES)

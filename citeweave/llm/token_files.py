@@ -16,7 +16,9 @@ manifest.
 
 from __future__ import annotations
 
+import functools
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +42,7 @@ SHARD_BYTES = 64 << 20
 BATCH_SEQUENCES = 128
 # Rows of documents in a record batch.
 BATCH_DOCS = 50_000
-# A task remembers the ids of so many words, and then starts anew.
+# A worker remembers the ids of up to twice so many words.
 KNOWN_WORDS = 300_000
 
 MANIFEST = ("shard int, ids_path string, docs_path string, n_docs bigint, n_tokens bigint, n_sequences bigint, "
@@ -53,23 +55,65 @@ _READ = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
 _READ_ARROW = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
 
 
+def _spelling() -> dict[int, int]:
+    """Byte -> the character that stands for it in the vocabulary: printable ones for themselves,
+    the others for the characters from U+0100 on, in order."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [byte for byte in range(0x100) if byte not in plain]
+    return {byte: 0x100 + place for place, byte in enumerate(others)}
+
+
+_SPELLING = _spelling()
+
+
+class _WordIds(dict):
+    """Word -> its ids as bytes; what is not remembered is encoded by the tokenizer's model.
+
+    Half of the words at most are dropped at a time: those not met since the last time.
+    """
+
+    def __init__(self, data: str, unit: str):
+        super().__init__()
+        tokenizer = _tokenizer(data)
+        self._pieces = tokenizer.model.tokenize
+        self._code = "H" if unit == "<u2" else "I"
+        self._special = {token.content: self._bytes([number]) for number, token in tokenizer.get_added_tokens_decoder().items()}
+        self._older: dict[str, bytes] = {}
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        return array(self._code, ids).tobytes()
+
+    def __missing__(self, word: str) -> bytes:
+        held = self._older.get(word) or self._special.get(word)
+        if held is None:
+            spelled = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(_SPELLING)
+            held = self._bytes([piece.id for piece in self._pieces(spelled)])
+        self[word] = held
+        return held
+
+    def age(self) -> None:
+        if len(self) > KNOWN_WORDS:
+            self._older = dict(self)
+            self.clear()
+
+
 class Encoder:
     """Text -> ids, each word encoded once for as long as it is remembered."""
 
     def __init__(self, data: str, unit: str):
         self.split = WordSplitter(data)
-        self.tokenizer = _tokenizer(data)
         self.unit = unit
-        self.known: dict[str, bytes] = {}
+        self.ids_of = _WordIds(data, unit)
 
     def __call__(self, text: str) -> np.ndarray:
-        words = self.split(text)
-        if len(self.known) > KNOWN_WORDS:
-            self.known.clear()
-        fresh = [word for word in dict.fromkeys(words) if word not in self.known]
-        for word, encoded in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-            self.known[word] = np.array(encoded.ids, dtype=self.unit).tobytes()
-        return np.frombuffer(b"".join(map(self.known.__getitem__, words)), dtype=self.unit)
+        self.ids_of.age()
+        return np.frombuffer(b"".join(map(self.ids_of.__getitem__, self.split(text))), dtype=self.unit)
+
+
+@functools.lru_cache(maxsize=1)
+def _encoder(data: str, unit: str) -> Encoder:
+    """One for all tasks that a worker process runs."""
+    return Encoder(data, unit)
 
 
 class ShardWriter:
@@ -227,7 +271,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str | None =
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         shard = context.partitionId()
-        encode = Encoder(data, unit)
+        encode = _encoder(data, unit)
         writer = None
         for batch in batches:
             for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):

@@ -1,4 +1,13 @@
 """Registered queries: each runs an operator on the given tables, most with equal SQL."""
 
-from citeweave.catalog import citations, describing, landing, records, stages, texts, yearly  # noqa: F401
+from citeweave.catalog import (  # noqa: F401
+    citations,
+    describing,
+    enriched,
+    landing,
+    records,
+    stages,
+    texts,
+    yearly,
+)
 from citeweave.catalog.registry import REGISTRY  # noqa: F401

@@ -14,6 +14,12 @@ def normalize_doi(doi: Column) -> Column:
     return F.replace(doi, F.lit(DOI_PREFIX), F.lit(""))
 
 
+def canonical_doi(doi: Column) -> Column:
+    """A DOI as it is compared between services: without address or label, in small letters, blank as null."""
+    bare = F.trim(F.regexp_replace(F.lower(F.trim(doi)), r"^(https?://(dx\.)?doi\.org/|doi:)", ""))
+    return F.when(bare != "", bare)
+
+
 def work_number(work_id: Column) -> Column:
     """The integer behind a work id; an id of another form raises under ANSI mode."""
     return F.replace(work_id, F.lit(WORK_PREFIX), F.lit("")).cast("bigint")

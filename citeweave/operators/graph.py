@@ -119,6 +119,60 @@ def _references_of(lists: DataFrame, layer: DataFrame) -> DataFrame:
     return citation_edges(lists.join(layer.select("id"), "id", "left_semi"), "id", "referenced_works")
 
 
+# Citing works in one row of a reversed list, on average for much-cited works and at most for others.
+CHUNK = 1_000
+
+
+def cited_by(edges: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """The graph reversed, as a written table ``id, referenced_works``: cited work and works that cite it.
+
+    The second name is that of a reference list, so that everything that follows lists also
+    follows these.  A work cited more than ``chunk`` times has several rows, over which its
+    citing works are dealt by hash, so neither a row nor a task holds a whole hub.  Only
+    such works are looked up while dealing: there is at most one for each ``chunk`` edges.
+    """
+    pairs = edges.where("src IS NOT NULL AND dst IS NOT NULL").select("src", "dst").distinct()
+    pairs = staged(pairs, "citations")
+    hubs = staged(pairs.groupBy("dst").agg(F.count("*").alias("n")).where(F.col("n") > chunk)
+                  .select("dst", F.ceil(F.col("n") / chunk).alias("parts")), "hubs")
+    part = F.pmod(F.xxhash64("src"), F.coalesce("parts", F.lit(1)))
+    return staged(pairs.join(hubs, "dst", "left").groupBy(F.col("dst").alias("id"), part.alias("part"))
+                  .agg(F.collect_list("src").alias("referenced_works")).drop("part"), "cited-by")
+
+
+def components(links: DataFrame) -> DataFrame:
+    """``node, label``: for every node of the links ``a, b`` the smallest node it is connected with.
+
+    Labels go along links and then on to where their own node has got.  Every round is a
+    written table, and their number follows the logarithm of the longest path, not its length.
+    """
+    ends = links.select("a", "b").union(links.select("b", "a")).where("a IS NOT NULL AND b IS NOT NULL").distinct()
+    ends = staged(ends, "links")
+    labels = staged(ends.groupBy(F.col("a").alias("node")).agg(F.least("a", F.min("b")).alias("label")), "labels")
+    moving = True
+    while moving:
+        heard = (ends.join(labels.withColumnRenamed("node", "b"), "b")
+                 .groupBy(F.col("a").alias("node")).agg(F.min("label").alias("heard")))
+        ahead = labels.select(F.col("node").alias("label"), F.col("label").alias("ahead"))
+        moved = staged(labels.join(heard, "node").join(ahead, "label").select(
+            "node", F.col("label").alias("was"), F.least("label", "heard", "ahead").alias("label")), "labels")
+        moving = not moved.where("label <> was").isEmpty()
+        labels = moved.select("node", "label")
+    return labels
+
+
+def unreachable(lists: DataFrame, reached: DataFrame, available: DataFrame, hops: int) -> DataFrame:
+    """Ledger ``(id, status)`` of references that an expansion met and could not follow.
+
+    ``reached`` is what :func:`expand_references` gave; works of the last hop were not followed.
+    """
+    followed = reached.where(F.col("hop") < hops)
+    asked = _distinct_keys(_references_of(lists, followed), "dst", "id")
+    held = available.select("id").union(reached.where("hop = 0").select("id"))
+    return (asked.join(_distinct_keys(held, "id", "id"), "id", "left_anti")
+            .select("id", F.lit("not_found").alias("status")))
+
+
 def expand_references(seed: DataFrame, edges: DataFrame, available: DataFrame, hops: int = 1, *,
                       seed_id: str = "id_OpenAlex", available_id: str = "id_OpenAlex") -> DataFrame:
     """Works reached from ``seed`` along ``edges``: ``(id, hop)``, the seed at hop 0.

@@ -53,6 +53,28 @@ KNOWN_IDS = T.StructType([
     T.StructField("id_OpenAlex", T.StringType()),
 ])
 
+# The common shape of a work that several services describe.
+MERGED_WORK = T.StructType([
+    T.StructField("doi", T.StringType()),
+    T.StructField("id_OpenAlex", T.StringType()),
+    T.StructField("s2_paper_id", T.StringType()),
+    T.StructField("title", T.StringType()),
+    T.StructField("abstract", T.StringType()),
+    T.StructField("publication_date", T.StringType()),
+    T.StructField("citation_count", T.LongType()),
+    T.StructField("reference_count", T.LongType()),
+])
+
+# Common name -> a service's own name, for the rows this package makes of its answers.
+SERVICE_FIELDS = {
+    "openalex": {"doi": "doi", "id_OpenAlex": "id_OpenAlex", "title": "title", "abstract": "abstract_OpenAlex",
+                 "publication_date": "publication_date", "citation_count": "citation_count_OpenAlex",
+                 "reference_count": "reference_count_OpenAlex"},
+    "semantic_scholar": {"doi": "doi", "s2_paper_id": "s2_paper_id", "abstract": "s2_abstract",
+                         "citation_count": "s2_citation_count", "reference_count": "s2_reference_count"},
+    "crossref": {"doi": "doi"},
+}
+
 # One work as the API returns it.  Nested objects that later stages only carry
 # along (open_access, topics) stay JSON text.
 WORK_JSON = T.StructType([

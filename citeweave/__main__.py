@@ -11,14 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from citeweave.functions.embedding import HashingEncoder, SentenceModelEncoder
 from citeweave.operators.graph import LOOKUP_KEYS, lookup, lookup_missing
-from citeweave.plans.acquire import acquire, expand, requests_for
+from citeweave.operators.search import journals_not_found
+from citeweave.plans.acquire import acquire, expand_with_ledger, requests_for
 from citeweave.plans.describe import DESCRIBED, describe
 from citeweave.plans.features import feature_journal
 from citeweave.plans.integrate import integrate_journal
 from citeweave.session import build_session, ship_package
-from citeweave.sources.landing import append_batch, known_ids, no_known_ids
+from citeweave.sources.landing import append_batch, known_ids, landed_lists, no_known_ids
 from citeweave.sources.tables import read_table
-from citeweave.sources.works_json import DEFAULT_FIELDS, flatten_works, read_works
+from citeweave.sources.works_json import DEFAULT_FIELDS, bad_records, flatten_works, read_works
 from citeweave.streaming.ingest import ingest_landing
 
 
@@ -29,22 +30,36 @@ def held_below(spark: SparkSession, folder: str) -> DataFrame:
         return no_known_ids(spark)
 
 
+def write_ledger(ledger: DataFrame, folder: str, name: str) -> None:
+    ledger.write.mode("overwrite").parquet(f"{folder}/ledger/{name}")
+
+
 def run_acquire(spark: SparkSession, args: argparse.Namespace) -> None:
     folder = f"{args.landing}/{args.label}"
     names = spark.createDataFrame([(name,) for name in args.names], "name string")
-    requests = requests_for(names, spark.read.json(args.journals), *args.years)
+    journals = spark.read.json(args.journals)
+    requests = requests_for(names, journals, *args.years)
     found = acquire(read_works(spark, args.snapshot), requests, held_below(spark, folder),
                     held_below(spark, f"{folder}/references"), args.cap, args.fields)
     append_batch(found.works, folder)
     append_batch(found.references, f"{folder}/references")
+    write_ledger(journals_not_found(names, journals), folder, "journals_not_found")
+    write_ledger(bad_records(spark, args.snapshot), folder, "bad_records")
     if args.cap is not None:
-        found.left_out.write.mode("overwrite").parquet(f"{folder}/ledger/left_out")
+        write_ledger(found.left_out, folder, "left_out")
 
 
 def run_expand(spark: SparkSession, args: argparse.Namespace) -> None:
     folder = f"{args.landing}/{args.label}"
-    reached = expand(read_works(spark, args.snapshot), held_below(spark, folder), args.hops)
-    append_batch(reached.drop("hop"), f"{folder}/references")
+    followed = "citations" if args.citing else "references"
+    try:
+        landed = landed_lists(spark, folder)
+    except FileNotFoundError:
+        landed = None
+    reached = expand_with_ledger(read_works(spark, args.snapshot), held_below(spark, folder), args.hops, args.fields,
+                                 landed, args.citing)
+    append_batch(reached.works.drop("hop"), f"{folder}/{followed}")
+    write_ledger(reached.not_found, folder, f"{followed}_not_found")
 
 
 def run_integrate(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -63,13 +78,14 @@ def run_details(spark: SparkSession, args: argparse.Namespace) -> None:
     ids = spark.read.text(args.ids).withColumnRenamed("value", "id")
     works = read_works(spark, args.snapshot)
     append_batch(flatten_works(lookup(works, ids, args.by, key=key), args.fields), folder)
-    lookup_missing(works, ids, args.by, key=key).write.mode("overwrite").parquet(f"{folder}/ledger/not_found")
+    write_ledger(lookup_missing(works, ids, args.by, key=key), folder, "not_found")
 
 
 def run_features(spark: SparkSession, args: argparse.Namespace) -> None:
     ship_package(spark)
     encoder = (SentenceModelEncoder, args.model) if args.model else (HashingEncoder,)
-    feature_journal(spark, args.integrated, args.label, args.out, *encoder, by_year=args.by_year, wide=args.wide)
+    feature_journal(spark, args.integrated, args.label, args.out, *encoder, by_year=args.by_year, wide=args.wide,
+                    percentiles=args.percentiles)
 
 
 def run_describe(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -97,8 +113,10 @@ def parser() -> argparse.ArgumentParser:
     sub = stage(run_details, "land the records of given ids", "snapshot", "ids", "landing", "label")
     sub.add_argument("--by", choices=sorted(LOOKUP_KEYS), default="oaid")
     sub.add_argument("--fields", nargs="+", default=DEFAULT_FIELDS)
-    sub = stage(run_expand, "land works reached along references", "snapshot", "landing", "label")
+    sub = stage(run_expand, "land works reached along references or citations", "snapshot", "landing", "label")
     sub.add_argument("--hops", type=int, default=1)
+    sub.add_argument("--citing", action="store_true", help="follow citations to the works that cite")
+    sub.add_argument("--fields", nargs="+", default=DEFAULT_FIELDS)
     for sub in (stage(run_integrate, "landed batches to one table", "landing", "label", "out"),
                 stage(run_ingest, "take in newly landed files", "landing", "out", "checkpoint")):
         sub.add_argument("--single-line", action="store_true", help="no cell holds a line break; files can be split")
@@ -106,6 +124,7 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--model", help="folder of a sentence model; hashed words without it")
     sub.add_argument("--by-year", action="store_true")
     sub.add_argument("--wide", action="store_true", help="one column per dimension of the embedding")
+    sub.add_argument("--percentiles", action="store_true", help="compute the percentile columns where they are missing")
     sub = stage(run_describe, "the data of the figures", "features", "out")
     sub.add_argument("--columns", nargs="+", default=DESCRIBED)
     return top

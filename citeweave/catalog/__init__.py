@@ -6,6 +6,7 @@ from citeweave.catalog import (  # noqa: F401
     enriched,
     landing,
     records,
+    snapshots,
     stages,
     texts,
     yearly,

@@ -13,7 +13,7 @@ from citeweave.sources import pages, tables, works_json
 
 @query(f"""
 SELECT '{WORK}' || o_orderkey AS id_OpenAlex, '10.5555/' || o_orderkey AS doi, d.source AS title,
-       o_totalprice::INTEGER AS citation_count_OpenAlex,
+       o_totalprice::BIGINT AS citation_count_OpenAlex,
        '{WORK}' || o_custkey AS first_reference, '{WORK}' || (o_orderkey + o_custkey) // 2 AS second_reference,
        d.text AS abstract_OpenAlex,
        '{JOURNAL}' || o_orderpriority[1] AS source_id, o_orderpriority AS source_name,

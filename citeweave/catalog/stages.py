@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from citeweave.catalog.describing import histogram_sql
+from citeweave.catalog.describing import COUNTS, histogram_sql
 from citeweave.catalog.landing import LANDED, LANDED_COLUMNS, land_by_status, landed_works
 from citeweave.catalog.registry import query
 from citeweave.catalog.standins import JOURNAL, WORK, doi, flat_works, nested_works, orders, work_id
 from citeweave.catalog.texts import CLEANED
-from citeweave.operators.describe import histograms
+from citeweave.operators.describe import figures, histograms
 from citeweave.plans.acquire import acquire, expand, requests_for
 from citeweave.plans.describe import DESCRIBED
-from citeweave.plans.features import features, sorted_features
+from citeweave.plans.features import dated_works, features, fill_percentiles, sorted_features
 from citeweave.plans.integrate import integrate
 from citeweave.schemas import FEATURE_WORK
 from citeweave.session import fresh_path
@@ -27,7 +27,7 @@ WITH wanted AS (
     AND o_orderstatus <> 'P')"""
 FLAT = f"""
 SELECT '{WORK}' || o_orderkey AS id_OpenAlex, '10.5555/' || o_orderkey AS doi, d.source AS title,
-       trunc(o_totalprice)::INTEGER AS citation_count_OpenAlex, d.text AS abstract_OpenAlex,
+       trunc(o_totalprice)::BIGINT AS citation_count_OpenAlex, d.text AS abstract_OpenAlex,
        o_orderpriority AS journal"""
 
 
@@ -130,3 +130,36 @@ def feature_table(spark, sf_dir):
 def describe_features(spark, sf_dir):
     table = staged(features(flat_works(spark, sf_dir)), "features")
     return histograms(table, DESCRIBED)
+
+
+def density_sql(column):
+    counts = COUNTS.format(keys="publication_year,", select="publication_year,", column=column, table="features")
+    return f"""
+SELECT '{column}' AS column_name, publication_year, bin::BIGINT AS bin,
+       lo + bin * (hi / 200 - lo / 200) AS bin_start, n
+FROM ({counts}), (SELECT min({column}) AS lo, max({column}) AS hi FROM features)"""
+
+
+# Every figure but the histograms, all from the same two scans.
+@query(f"WITH features AS ({FEATURES})\n" + "\nUNION ALL\n".join(density_sql(column) for column in DESCRIBED))
+def describe_densities(spark, sf_dir):
+    made = figures(staged(features(flat_works(spark, sf_dir)), "features"), DESCRIBED)
+    return landing.union_sources([made[f"scatter-{column}"].select(F.lit(column).alias("column_name"), "*")
+                                  for column in DESCRIBED])
+
+
+# Works of status P come with a percentile, which stays.
+@query("""
+WITH w AS (SELECT o_orderkey, o_orderstatus, o_totalprice, year(o_orderdate) AS y, o_orderpriority AS t FROM orders)
+SELECT o_orderkey AS id_OpenAlex,
+       CASE WHEN o_orderstatus = 'P' THEN 50.0::DOUBLE ELSE percent_rank() OVER (PARTITION BY y ORDER BY o_totalprice) * 100 END
+         AS cited_by_percentile_year_OpenAlex,
+       percent_rank() OVER (PARTITION BY y, t ORDER BY o_totalprice) AS citation_normalized_percentile_OpenAlex
+FROM w""")
+def feature_percentiles(spark, sf_dir):
+    works = flat_works(spark, sf_dir).select(
+        "id_OpenAlex", F.col("source").alias("type"), "citation_count_OpenAlex", "publication_date",
+        F.when(F.col("open_access") == "P", 50.0).alias("cited_by_percentile_year_OpenAlex"),
+        "citation_normalized_percentile_OpenAlex")
+    return fill_percentiles(dated_works(works)).select(
+        "id_OpenAlex", "cited_by_percentile_year_OpenAlex", "citation_normalized_percentile_OpenAlex")

@@ -77,7 +77,7 @@ def nested_works(spark: SparkSession, sf_dir: str) -> DataFrame:
         doi("o_orderkey").alias("doi"),
         F.col("doc_source").alias("title"),
         F.lit("article").alias("type"),
-        F.col("o_totalprice").cast("int").alias("cited_by_count"),
+        F.col("o_totalprice").cast("bigint").alias("cited_by_count"),
         F.array(work_id("o_custkey"), work_id(midway())).alias("referenced_works"),
         day_text().alias("publication_date"),
         F.year("o_orderdate").alias("publication_year"),

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from citeweave.sources.tables import staged
+
 # Fixed value: bins of a histogram.
 BINS = 200
 
@@ -29,6 +31,10 @@ def _infinite(column: str) -> Column:
 
 def _ranges(frame: DataFrame, columns: Sequence[str]) -> Column:
     """Row count and value range of each column as a scalar subquery: one row, one scan."""
+    return range_row(frame, columns).scalar()
+
+
+def range_row(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
     ranges = []
     for column, number in zip(columns, _numbers(columns), strict=True):
         lo, hi = _widened(F.min(number), F.max(number))
@@ -36,8 +42,7 @@ def _ranges(frame: DataFrame, columns: Sequence[str]) -> Column:
         missing = F.count("*") - F.count(number) - infinite
         ranges.append(F.struct(lo.alias("lo"), hi.alias("hi"), missing.alias("n_missing"),
                                infinite.alias("n_infinite")))
-    return frame.agg(F.struct(F.count("*").alias("n_rows"), F.array(*ranges).alias("of"))
-                     .alias("ranges")).scalar()
+    return frame.agg(F.struct(F.count("*").alias("n_rows"), F.array(*ranges).alias("of")).alias("ranges"))
 
 
 def _with_bin(valued: DataFrame, bins: int) -> DataFrame:
@@ -67,18 +72,28 @@ def histograms(frame: DataFrame, columns: Sequence[str], bins: int = BINS) -> Da
     leave the tasks.
     """
     ranges = _ranges(frame, columns)
+    return _histogram_rows(binned_counts(frame, columns, ranges, bins), columns, ranges, bins)
+
+
+def binned_counts(frame: DataFrame, columns: Sequence[str], ranges: Column, bins: int,
+                  by: Sequence[str] = ()) -> DataFrame:
+    """``(*by, place, bin, n)``: how many values of each column lie in each bin; one scan for all columns."""
     cells = F.array(*[
         F.struct(F.lit(i).alias("place"), number.alias("value"))
         for i, number in enumerate(_numbers(columns))])
-    placed = frame.select(F.explode(cells).alias("cell")).select(
-        "cell.*", F.get(ranges["of"], F.col("cell.place")).alias("range")).select(
-        "place", "value", "range.*")
-    counts = _with_bin(placed, bins).groupBy("place", "bin").agg(F.count("*").alias("n"))
+    placed = frame.select(*by, F.explode(cells).alias("cell")).select(
+        *by, "cell.*", F.get(ranges["of"], F.col("cell.place")).alias("range")).select(
+        *by, "place", "value", "range.*")
+    return _with_bin(placed, bins).groupBy(*by, "place", "bin").agg(F.count("*").alias("n"))
+
+
+def _histogram_rows(counts: DataFrame, columns: Sequence[str], ranges: Column, bins: int) -> DataFrame:
+    """All bins of all columns, empty ones included."""
     outlines = F.array(*[
         F.struct(F.lit(i).alias("place"), F.lit(c).alias("column_name"),
                  F.get(ranges["of"], F.lit(i)).alias("range"), ranges["n_rows"].alias("n_rows"))
         for i, c in enumerate(columns)])
-    grid = (frame.sparkSession.range(bins).withColumnRenamed("id", "bin")
+    grid = (counts.sparkSession.range(bins).withColumnRenamed("id", "bin")
             .select("bin", F.explode(outlines).alias("outline")).select("bin", "outline.*")
             .select("bin", "place", "column_name", "range.*", "n_rows"))
     width = F.col("hi") / bins - F.col("lo") / bins
@@ -92,6 +107,26 @@ def histograms(frame: DataFrame, columns: Sequence[str], bins: int = BINS) -> Da
         "n_missing", "n_infinite", "n_rows")
 
 
+def figures(frame: DataFrame, columns: Sequence[str], year: str = "publication_year",
+            bins: int = BINS) -> dict[str, DataFrame]:
+    """``histograms`` and one ``scatter-<column>`` for each column, from two scans in all.
+
+    The first takes all ranges, the second counts per year and bin; both are written tables of
+    a few rows per column, year and bin, from which every figure is made.
+    """
+    ranges = staged(range_row(frame, columns), "ranges").scalar()
+    counts = staged(binned_counts(frame.withColumnRenamed(year, "publication_year"), columns, ranges, bins,
+                                  ["publication_year"]), "bins")
+    summed = counts.groupBy("place", "bin").agg(F.sum("n").alias("n"))
+    made = {"histograms": _histogram_rows(summed, columns, ranges, bins)}
+    for place, column in enumerate(columns):
+        one = F.get(ranges["of"], F.lit(place))
+        start = one["lo"] + F.col("bin") * (one["hi"] / bins - one["lo"] / bins)
+        made[f"scatter-{column}"] = counts.where((F.col("place") == place) & F.col("publication_year").isNotNull()).select(
+            "publication_year", "bin", start.alias("bin_start"), "n")
+    return made
+
+
 def year_density(frame: DataFrame, column: str, year: str = "publication_year",
                  bins: int = BINS) -> DataFrame:
     """Points of the year-by-value scatter counted per year and value bin.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,6 +37,21 @@ def stage_counts(frame: DataFrame, key: str = "id_OpenAlex") -> DataFrame:
     )
 
 
+def observed(frame: DataFrame, **metrics: Column) -> tuple[DataFrame, Observation]:
+    """``frame`` with numbers taken on the way of the job that runs it; no pass of their own.
+
+    ``observation.get`` gives them once that job is done.
+    """
+    observation = Observation()
+    return frame.observe(observation, *[metric.alias(name) for name, metric in metrics.items()]), observation
+
+
+def write_counts(frame: DataFrame, path: str, **counts: int) -> None:
+    """One row of named numbers beside a stage's output; ``frame`` only gives the session."""
+    schema = T.StructType([T.StructField(name, T.LongType()) for name in counts])
+    frame.sparkSession.createDataFrame([tuple(counts.values())], schema).write.mode("overwrite").parquet(path)
+
+
 def contract_report(frame: DataFrame, contract: T.StructType) -> DataFrame:
     """One row per column of the contract or the table: what keeps it from fitting.
 

@@ -70,6 +70,13 @@ def journal_lookup(names: DataFrame, journals: DataFrame) -> DataFrame:
             .where("journal_id IS NOT NULL"))
 
 
+def journals_not_found(names: DataFrame, journals: DataFrame) -> DataFrame:
+    """Ledger ``(name, status)`` of names that :func:`journal_lookup` finds no journal for."""
+    found = staged(journal_lookup(names, journals).select("name"), "keys")
+    return (names.select("name").where("name IS NOT NULL").distinct().join(found, "name", "left_anti")
+            .select("name", F.lit("not_found").alias("status")))
+
+
 def search_works(works: DataFrame, requests: DataFrame) -> DataFrame:
     """All hits ``(journal_id, publication_year, id_OpenAlex, doi)`` of many searches at once.
 

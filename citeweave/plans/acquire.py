@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citeweave.operators.graph import (
+    cited_by,
     citation_edges,
     expand_references,
     lookup,
     novel_candidates,
     reference_frontier,
+    unreachable,
 )
 from citeweave.operators.search import cap_per_group, journal_lookup, search_works
 from citeweave.sources.tables import staged
@@ -56,15 +58,35 @@ def acquire(snapshot: DataFrame, requests: DataFrame, held: DataFrame,
     return Acquired(flatten_works(found, fields), flatten_works(referenced, fields), left_out)
 
 
+class Expanded(NamedTuple):
+    works: DataFrame
+    # References that were met and are in neither the snapshot nor the seed: id, status.
+    not_found: DataFrame
+
+
 def expand(snapshot: DataFrame, seed: DataFrame, hops: int = 1,
            fields: Sequence[str] = DEFAULT_FIELDS) -> DataFrame:
-    """Flat rows of the works reached from ``seed`` in up to ``hops`` steps, with the step.
+    """Flat rows of the works reached from ``seed`` in up to ``hops`` steps, with the step."""
+    return expand_with_ledger(snapshot, seed, hops, fields).works
+
+
+def expand_with_ledger(snapshot: DataFrame, seed: DataFrame, hops: int = 1, fields: Sequence[str] = DEFAULT_FIELDS,
+                       landed: DataFrame | None = None, citing: bool = False) -> Expanded:
+    """Works reached along references, or with ``citing`` along citations, and what was not found.
 
     Steps run on ids and reference lists, which are written to a table of their own;
-    full records are read once more at the end.
+    full records are read once more at the end.  ``landed`` has lists (``id,
+    referenced_works``) of works that the snapshot may lack: they are followed as well,
+    though only works of the snapshot can be reached.  All works that cite a reached one are
+    in the lists, so nothing can be missing where citations are followed.
     """
     # The slim part is read from the snapshot once and serves all steps.
-    lists = staged(snapshot.select("id", "referenced_works"), "lists")
-    reached = staged(expand_references(seed, lists, lists, hops, available_id="id").where("hop > 0"), "reached")
+    held = staged(snapshot.select("id", "referenced_works"), "lists")
+    lists = held if landed is None else staged(held.unionByName(landed), "lists")
+    if citing:
+        lists = cited_by(citation_edges(lists, "id", "referenced_works"))
+    layers = staged(expand_references(seed, lists, held, hops, available_id="id"), "reached")
+    missing = unreachable(lists, layers, held, hops)
+    reached = layers.where("hop > 0")
     records = snapshot.join(reached.withColumnRenamed("id", "_reached"), F.col("id") == F.col("_reached"))
-    return flatten_works(records, [*fields, "hop"])
+    return Expanded(flatten_works(records, [*fields, "hop"]), missing.limit(0) if citing else missing)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from citeweave.operators.describe import histograms, year_density
+from citeweave.operators.describe import figures
 
 # The columns that are described.
 DESCRIBED = ["citation_count_OpenAlex", "median_citation_count_year", "higher_than_median_year"]
@@ -12,7 +12,4 @@ DESCRIBED = ["citation_count_OpenAlex", "median_citation_count_year", "higher_th
 
 def describe(features: DataFrame, columns: list[str] = DESCRIBED) -> dict[str, DataFrame]:
     """``histograms`` of all columns and one ``scatter-<column>`` for each."""
-    figures = {"histograms": histograms(features, columns)}
-    for column in columns:
-        figures[f"scatter-{column}"] = year_density(features, column)
-    return figures
+    return figures(features, columns)

@@ -84,8 +84,8 @@ WORK_JSON = T.StructType([
     T.StructField("type", T.StringType()),
     T.StructField("open_access", T.StringType()),
     T.StructField("topics", T.StringType()),
-    T.StructField("cited_by_count", T.IntegerType()),
-    T.StructField("referenced_count", T.IntegerType()),
+    T.StructField("cited_by_count", T.LongType()),
+    T.StructField("referenced_count", T.LongType()),
     T.StructField("referenced_works", T.ArrayType(T.StringType())),
     T.StructField("publication_date", T.StringType()),
     T.StructField("publication_year", T.IntegerType()),

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from citeweave.functions.ids import parse_list
 from citeweave.schemas import KNOWN_IDS, RAW_WORK
 
 # Cell texts that stand for a missing value in a landed CSV file.
@@ -143,6 +144,16 @@ def known_ids(spark: SparkSession, root: str, *, multi_line: bool = True) -> Dat
     return type_cells(cells, KNOWN_IDS).select(*KNOWN_IDS.names).distinct()
 
 
+def landed_lists(spark: SparkSession, root: str, *, multi_line: bool = True) -> DataFrame:
+    """``id, referenced_works`` of every CSV below ``root``, at any depth; works without a list are left out."""
+    cells = read_text_cells(spark, [root], multi_line=multi_line, recursive=True)
+    if "referenced_works_OpenAlex" not in cells.columns:
+        return spark.createDataFrame([], "id string, referenced_works array<string>")
+    return type_cells(cells).select(F.col("id_OpenAlex").alias("id"),
+                                    parse_list(F.col("referenced_works_OpenAlex")).alias("referenced_works")
+                                    ).where("id IS NOT NULL AND referenced_works IS NOT NULL")
+
+
 def no_known_ids(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], KNOWN_IDS)
 

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from citeweave.operators.rows import drop_null_key, keep_first
 from citeweave.schemas import RAW_WORK
-from citeweave.sources.landing import CSV_READ, ORIGIN, SUBFOLDERS, landed_header, type_cells
+from citeweave.sources.landing import CSV_READ, ORIGIN, SUBFOLDERS, bad_cells, landed_header, type_cells
 
 
 def held_keys(spark: SparkSession, target: str, key: str) -> DataFrame | None:
@@ -49,9 +49,11 @@ def _ingest_folder(spark: SparkSession, folder: str, rank: int, columns: list[st
         F.col("_metadata.file_block_start").alias("origin_block"),
     )
 
-    def take_in(batch: DataFrame, _batch_id: int) -> None:
+    def take_in(batch: DataFrame, batch_id: int) -> None:
         # Row numbers are given here: a stream has no row order of its own.
         numbered = batch.withColumn("origin_row", F.monotonically_increasing_id())
+        # One folder for each batch: a batch that runs again replaces its own lines.
+        bad_cells(numbered, contract).write.mode("overwrite").parquet(f"{checkpoint}-bad-cells/batch={batch_id}")
         append_new(type_cells(numbered, contract), target, key)
 
     query = (placed.writeStream.foreachBatch(take_in)
@@ -70,7 +72,8 @@ def ingest_landing(spark: SparkSession, landing: str, target: str, checkpoint: s
     which copy of a work is kept.  A copy taken in by an earlier call stays.  The files of
     a folder have one header, taken from them unless ``header`` names it; a file with
     another order of columns is an error.  Below the checkpoint folder each sub-folder
-    remembers which of its files are done.
+    remembers which of its files are done, and ``<sub-folder>-bad-cells`` lists the cells of each
+    batch that do not fit the contract (see :func:`citeweave.sources.landing.bad_cells`).
     """
     for rank, sub in enumerate(SUBFOLDERS):
         folder = f"{landing}/{sub}".rstrip("/")

@@ -19,10 +19,13 @@ LEARNED_ROLE = "assistant"
 
 
 def neighbour_pairs(turns: DataFrame, conv_col: str = "conv_id") -> DataFrame:
-    """``pair_id, chosen_id, rejected_id``: conversations 2k and 2k + 1, where both exist."""
+    """``pair_id, chosen_id, rejected_id``: conversations 2k and 2k + 1, where both exist.
+
+    Ids are halved in whole numbers, so large and negative ones are paired as well.
+    """
     conv = named(conv_col).cast("bigint")
     pairs = turns.select(conv.alias("conv")).where("conv is not null").groupBy(
-        F.floor(F.col("conv") / 2).cast("bigint").alias("pair_id")).agg(
+        F.shiftright("conv", 1).alias("pair_id")).agg(
         F.min("conv").alias("chosen_id"), F.max("conv").alias("rejected_id"))
     return pairs.where("chosen_id <> rejected_id")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 from typing import Any
@@ -73,6 +75,33 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
         [pa.array(values, type=field.type) for values, field in zip(columns, schema, strict=True)], schema=schema)
 
 
+@functools.cache
+def _trim() -> Callable[[int], int]:
+    return getattr(ctypes.CDLL(None), "malloc_trim", lambda pad: 0)
+
+
+def give_back() -> None:
+    """Hand memory that was freed back to the system.
+
+    A Python worker lives on after its task, and so does what its allocators hold; the workers
+    of the next stage would have to fit in beside it.
+    """
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
+def giving_back(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A task's function over batches that gives memory back at its end."""
+    @functools.wraps(run)
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return wrapped
+
+
 def remainder(doc_id: int | None, divisor: int) -> int:
     """CRC-32 of the id as text, modulo ``divisor``; -1 without an id."""
     return -1 if doc_id is None else zlib.crc32(str(doc_id).encode()) % divisor

@@ -23,14 +23,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from citeweave.llm.common import named, prepare
+from citeweave.llm.common import give_back, giving_back, named, prepare
 from citeweave.sources.tables import staged
 
 ORDER = 4
 # The classifier is fitted on so many labelled documents of each language, by hash of the id.
 SAMPLE_DOCS = 1_000
-# Of each of them, so many distinct words count at most; the model's size follows from both bounds.
-SAMPLE_WORDS = 5_000
 DISCOUNT = 0.75
 # Rejected: texts whose cross-entropy lies beyond this share of the way from the language's own texts
 # to words of the nearest other language, and so many deviations above its mean.
@@ -195,6 +193,8 @@ class Identifier:
     def _bound(self, own: int) -> float:
         """The highest cross-entropy at which a text passes as one of this language."""
         model = self.models[own]
+        if not np.isfinite(model.mean):  # one text was learned from: nothing tells how far others may lie
+            return float("inf")
         spread = model.mean + REJECT_DEVIATIONS * model.deviation
         foreign = [-word_scores(model, list(other.profile)).sum() / sum(len(w) + 1 for w in other.profile)
                    for i, other in enumerate(self.models) if i != own and other.profile]
@@ -220,7 +220,9 @@ class Identifier:
             best = int(entropy.argmin())
             share = np.exp(-(entropy - entropy[best]) * min(n, SCORE_CHARS))
             model = self.models[best]
-            bound = model.mean + (self.bounds[best] - model.mean) * max(1.0, (SHORT_CHARS / n) ** 0.5)
+            bound = self.bounds[best]
+            if np.isfinite(bound):
+                bound = model.mean + (bound - model.mean) * max(1.0, (SHORT_CHARS / n) ** 0.5)
             labels.append(self.languages[best])
             scores.append(float(1 / share.sum()))
             accepted.append(bool(entropy[best] <= bound))
@@ -238,9 +240,9 @@ def _sample_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for batch in batches:
         rows: list[tuple] = []
         for language, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            counts = Counter(letter_words(text.as_py())).most_common(SAMPLE_WORDS)
+            counts = Counter(letter_words(text.as_py()))
             if counts:
-                rows.append((language, [w for w, _ in counts], [c for _, c in counts]))
+                rows.append((language, list(counts), list(counts.values())))
         for row in rows:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([value], type=field.type) for value, field in zip(row, schema, strict=True)], schema=schema)
@@ -250,33 +252,36 @@ def _fit_language(key: tuple, rows: pa.Table) -> pa.Table:
     """The model of one language, as bytes, with its calibration on halves of the sample."""
     import pickle
 
-    def counted(part: list[dict]) -> Counter[str]:
+    words_of, counts_of = (rows.column(name) for name in ("words", "counts"))
+
+    def counted(part: list[int]) -> Counter[str]:
         total: Counter[str] = Counter()
-        for row in part:
-            total.update(dict(zip(row["words"], row["counts"], strict=True)))
+        for i in part:  # one text at a time is made into Python objects
+            total.update(dict(zip(words_of[i].as_py(), counts_of[i].as_py(), strict=True)))
         return total
 
-    docs = rows.select(["words", "counts"]).to_pylist()
-    docs.sort(key=lambda row: xxhash.xxh3_64_intdigest(" ".join(row["words"]).encode()))
+    docs = sorted(range(rows.num_rows),
+                  key=lambda i: xxhash.xxh3_64_intdigest(" ".join(sorted(words_of[i].as_py())).encode()))
     halves = docs[::2], docs[1::2]
     entropies: list[float] = []
     lengths: list[int] = []
     for learn, test in (halves, halves[::-1]):
         if learn and test:
             model = fit(counted(learn))
-            for row in test:
-                counts = np.array(row["counts"])
-                n = int((np.fromiter(map(len, row["words"]), np.int64) + 1) @ counts)
-                entropies.append(float(-(word_scores(model, row["words"]) @ counts) / n))
+            for i in test:
+                words, counts = words_of[i].as_py(), np.array(counts_of[i].as_py())
+                n = int((np.fromiter(map(len, words), np.int64) + 1) @ counts)
+                entropies.append(float(-(word_scores(model, words) @ counts) / n))
                 lengths.append(n)
-    model = fit(counted(docs))
+    total = counted(docs)
+    model = fit(total)
     # Robust: a mislabelled text in the sample does not widen the bound.
     middle = float(np.median(entropies)) if entropies else float("inf")
     scaled = np.abs(np.array(entropies) - middle) * np.sqrt(np.minimum(np.array(lengths), 1000) / 1000)
     deviation = float(1.4826 * np.median(scaled)) if entropies else 0.0
     model = model._replace(mean=middle, deviation=max(deviation, 0.02),
-                           profile=tuple(sorted({w for row in docs for w in row["words"]},
-                                                key=xxhash.xxh3_64_intdigest)[:PROFILE_WORDS]))
+                           profile=tuple(sorted(total, key=xxhash.xxh3_64_intdigest)[:PROFILE_WORDS]))
+    give_back()
     return pa.table({"language": pa.array([key[0].as_py()], pa.string()),
                      "model": pa.array([pickle.dumps(model)], pa.binary())})
 
@@ -293,15 +298,16 @@ def fit_identifier(labelled: DataFrame, text_col: str, lang_col: str, order_col:
     rows = labelled.select(named(lang_col).cast("string").alias("language"), named(text_col).alias("text"),
                            named(order_col).alias("_order")).where("language is not null and text is not null")
     keyed = rows.withColumns({"_place": F.xxhash64(F.lit(7), "_order")})
-    # About three times the sample by place, so that only this much is ranked.
-    sizes = keyed.groupBy("language").agg(F.count(F.lit(1)).alias("n"))
+    # About three times the sample by place, so that only this much is sent anywhere and ranked: the
+    # bounds are a written table of one row for each language, small enough to be sent to the rows.
     near = F.lit(float(-(1 << 63))) + F.lit(float(1 << 64)) * F.least(F.lit(1.0), F.lit(3.0 * sample_docs + 100) / F.col("n"))
-    first = keyed.select("language", "_place", "_order").join(sizes, "language").where(F.col("_place") <= near)
+    bounds = staged(keyed.groupBy("language").agg(F.count(F.lit(1)).alias("n")).select("language", near.alias("_near")), "bounds")
+    first = keyed.select("language", "_place", "_order").join(bounds, "language").where("_place <= _near")
     nth = F.row_number().over(W.partitionBy("language").orderBy("_place", "_order"))
     chosen = staged(first.withColumn("nth", nth).where(F.col("nth") <= sample_docs)
                     .select("language", "_place", "_order").distinct(), "language-sample")
     sample = keyed.join(chosen, ["language", "_place", "_order"], "left_semi").select("language", "text")
-    counted = sample.mapInArrow(_sample_counts, "language string, words array<string>, counts array<bigint>")
+    counted = sample.mapInArrow(giving_back(_sample_counts), "language string, words array<string>, counts array<bigint>")
     fitted = counted.groupBy("language").applyInArrow(_fit_language, "language string, model binary")
     return Identifier({row["language"]: pickle.loads(row["model"]) for row in fitted.toLocalIterator()})
 
@@ -324,6 +330,7 @@ def predicted(text: Column, identifier: Identifier, spark) -> Column:
                 fields=list(_PREDICTION_ARROW))
 
     predict.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    predict = giving_back(predict)
     return F.arrow_udf(predict, _PREDICTION)(text)
 
 
@@ -333,7 +340,10 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
     Returns ``doc_id, held_out, lang_pred, score, accepted, entropy``, one row per row.
     Null texts and texts without a letter are ``und`` with score 0 and not accepted, and so
-    is everything if no label was learned.  Rows without an id are neither learned from nor
+    is everything if no label was learned.  Of equal cross-entropies the first language by
+    name counts.  A language learned from one text accepts whatever is nearest to it, as
+    nothing tells how far its texts may lie.  Texts are scored whole; a very long one is held
+    whole with its words.  An empty table gives an empty table.  Rows without an id are neither learned from nor
     held out.  Labels are used for learning only; other columns are not looked at.
     """
     prepare(docs.sparkSession)

@@ -7,10 +7,12 @@ agreement, discards candidates that cannot be near; all others are confirmed on
 shingle sets.  Documents with equal sets are one node from the start.
 
 A bucket of candidates is not expanded into pairs.  Its members are compared with its
-smallest node.  Members that this links are settled.  For the others, the distance of
-Jaccard sets being a metric, the known distances to the smallest node exclude many
-remaining pairs exactly, and so do shingles that no other unsettled node has and bitmaps
-of the sets; only pairs left over, between nodes not connected yet, are compared.
+smallest node.  Members that this links are settled.  The shingles of the others are put in
+order of rarity.  Two sets of known sizes that are near enough share one of their rarest
+shingles, and how many of them have to be looked at follows from the sizes; so nodes meet
+under a pair of size classes and a rare shingle.  A passage that many texts share is no
+such place unless two of them are near.  Only pairs that meet, between nodes not connected
+yet, are compared.
 """
 
 from __future__ import annotations
@@ -21,10 +23,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeweave.llm.common import arrow_batches, id_and_text, mixed, named
+from citeweave.llm.common import BATCH_BYTES, arrow_batches, giving_back, id_and_text, mixed, named
 from citeweave.sources.tables import staged
 
 BANDS, ROWS = 48, 8
@@ -39,8 +41,8 @@ _SETS = ("doc_id bigint, n_shingles bigint, sign_a bigint, sign_b bigint, regist
 _SETS_ARROW = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("sign_a", pa.int64()),
                          ("sign_b", pa.int64()), ("registers", pa.binary())])
 _BANDS_ARROW = pa.schema([("node", pa.int64()), ("bands", pa.list_(pa.int64()))])
-# Bits that mark a node's shingles, to bound intersections of pairs.
-MARK_BITS = 2_048
+# Sizes of one class differ by one part in so many at most.
+SIZE_PARTS = 64
 # So many ids, 16 MB, are sent to every task at most.
 BROADCAST_IDS = 1_000_000
 
@@ -121,7 +123,7 @@ def _sketches(width: int):
 
         yield from arrow_batches(rows(), _SETS_ARROW, lambda row: 900)
 
-    return sketches
+    return giving_back(sketches)
 
 
 @functools.lru_cache(maxsize=1)
@@ -176,7 +178,7 @@ def _hopeful(least: float):
 
         yield from arrow_batches(rows(), schema)
 
-    return hopeful
+    return giving_back(hopeful)
 
 
 def _confirm(width: int, least: int):
@@ -199,46 +201,136 @@ def _confirm(width: int, least: int):
 
         yield from arrow_batches(rows(), schema)
 
-    return confirm
+    return giving_back(confirm)
+
+
+_SHINGLES = "node bigint, part bigint, size int, shingle bigint"
 
 
 def _shingle_rows(width: int):
+    """All shingles of each text; ``part`` tells texts of one node apart."""
+    schema = pa.schema([("node", pa.int64()), ("part", pa.int64()), ("size", pa.int32()), ("shingle", pa.int64())])
+
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("node", pa.int64()), ("shingle", pa.int64())])
         for batch in batches:
             known = _WordHashes()
             for node, text in zip(batch.column(0), batch.column(1), strict=True):
-                own = shingle_hashes(words_of(text.as_py()), width, known).view(np.int64)
+                words = words_of(text.as_py())
+                own = shingle_hashes(words, width, known).view(np.int64)
+                part = xxhash.xxh3_64_intdigest(b" ".join(words)) - (1 << 63)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(own), node.as_py(), dtype=np.int64)), pa.array(own)], schema=schema)
+                    [pa.array(np.full(len(own), node.as_py(), dtype=np.int64)), pa.array(np.full(len(own), part, dtype=np.int64)),
+                     pa.array(np.full(len(own), len(own), dtype=np.int32)), pa.array(own)], schema=schema)
 
-    return shingles
+    return giving_back(shingles)
 
 
-def _bitmaps(width: int):
-    def bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("node", pa.int64()), ("bits", pa.list_(pa.int64()))])
+def size_class(size: int) -> int:
+    """Classes of sizes, each about one part in :data:`SIZE_PARTS` wide; small sizes have one each."""
+    shift = max(0, size.bit_length() - SIZE_PARTS.bit_length())
+    return (shift * SIZE_PARTS) + (size >> shift)
 
-        def rows() -> Iterator[tuple]:
-            for batch in batches:
-                known = _WordHashes()
-                for node, text in zip(batch.column(0), batch.column(1), strict=True):
-                    own = shingle_hashes(words_of(text.as_py()), width, known)
-                    bits = np.zeros(MARK_BITS, dtype=np.uint8)
-                    bits[(own % np.uint64(MARK_BITS)).astype(np.int64)] = 1
-                    yield node.as_py(), np.packbits(bits).view(np.int64).tolist()
 
-        yield from arrow_batches(rows(), schema, lambda row: MARK_BITS // 8)
+def smallest_of_class(number: int) -> int:
+    """The smallest size of a class."""
+    shift = max(0, number // SIZE_PARTS - 1)
+    return (number - shift * SIZE_PARTS) << shift
+
+
+def needed_overlap(one: int, other: int, percent: int) -> int:
+    """Shingles that sets of these sizes have in common at least if they are linked."""
+    return -(-percent * (one + other) // (100 + percent))
+
 
-    return bitmaps
+def meeting_lengths(size: int, percent: int) -> list[tuple[int, int]]:
+    """For each class of sizes that a set of ``size`` can be linked with: how many of its rarest shingles to look at.
 
+    Two sets with an intersection of at least ``k`` share one of the ``size - k + 1`` first ones of
+    either, in any order that is the same for both.  The smallest size of the class needs the
+    smallest intersection, and so the longest part.
+    """
+    least, most = -(-percent * size // 100), 100 * size // percent
+    return [(number, size - needed_overlap(size, max(least, smallest_of_class(number)), percent) + 1)
+            for number in range(size_class(least), size_class(most) + 1)]
+
+
+_MEETINGS = "node bigint, own int, other int, shingle bigint"
+
+
+def _meetings(percent: int):
+    """Rows ``node, part, size, n_shared, shingle`` of shared shingles, by text and rarity, to meeting places.
 
-def own_shingles(texts: DataFrame, width: int) -> DataFrame:
-    """``node, n_alone``: how many shingles of each node none of the others has; ``texts`` has ``node, text``."""
-    rows = texts.mapInArrow(_shingle_rows(width), "node bigint, shingle bigint")
-    # Unlike nodes: an id with several texts is one holder.
-    return rows.groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("last")).where(
-        "node = last").groupBy("node").agg(F.count(F.lit(1)).alias("n_alone"))
+    A set's shingles that no other node has are the rarest ones; nothing is met there, so
+    they only take their places.
+    """
+    schema = pa.schema([("node", pa.int64()), ("own", pa.int32()), ("other", pa.int32()), ("shingle", pa.int64())])
+
+    def meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, seen = (None, None), 0
+        lengths: list[tuple[int, int]] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            nodes, parts, sizes, shared, shingles = (batch.column(i).to_numpy() for i in range(5))
+            starts = np.flatnonzero(np.append(True, (np.diff(nodes) != 0) | (np.diff(parts) != 0)))
+            for start, end in zip(starts, [*starts[1:], len(nodes)], strict=True):
+                node, size, alone = int(nodes[start]), int(sizes[start]), int(sizes[start] - shared[start])
+                if (node, parts[start]) != last:
+                    last, seen = (node, parts[start]), 0
+                    lengths = [(number, length - alone) for number, length in meeting_lengths(size, percent)
+                               if length > alone]
+                for number, length in lengths:
+                    part = shingles[start:start + max(0, min(end - start, length - seen))]
+                    if len(part):
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(len(part), node)), pa.array(np.full(len(part), size_class(size), dtype=np.int32)),
+                             pa.array(np.full(len(part), number, dtype=np.int32)), pa.array(part)], schema=schema)
+                seen += end - start
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Few large batches in place of many small ones."""
+        held: list[pa.RecordBatch] = []
+        size = 0
+        for batch in meetings(batches):
+            held.append(batch)
+            size += batch.nbytes
+            if size >= BATCH_BYTES:
+                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                held, size = [], 0
+        if held:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+    return giving_back(joined)
+
+
+def meeting_pairs(nodes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """``a, b`` (a < b): pairs of nodes with different labels that share a rare shingle.
+
+    ``nodes`` has ``node, label`` and is a written table, ``texts`` has ``node, text``.  Every
+    pair with different labels that is to be linked is among them; of an id with several
+    texts each is looked at for itself.
+    """
+    rows = staged(texts.mapInArrow(_shingle_rows(width), _SHINGLES).distinct(), "shingles")
+    held = staged(rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
+    shared = staged(rows.join(held, "shingle"), "shared-shingles")
+    counts = shared.groupBy("node", "part", "size").agg(F.count(F.lit(1)).alias("n_shared")).where(
+        100 * F.col("n_shared") >= percent * F.col("size"))
+    ordered = (shared.join(counts, ["node", "part", "size"]).repartition("node", "part")
+               .sortWithinPartitions("node", "part", "n", "shingle").select("node", "part", "size", "n_shared", "shingle"))
+    met = staged(ordered.mapInArrow(_meetings(percent), _MEETINGS).join(nodes, "node")
+                 .withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")}), "meetings")
+    place = ["low", "high", "shingle"]
+    # In each place one label, the most frequent, need not be met with itself.
+    labels = met.groupBy(*place, "label").agg(F.count(F.lit(1)).alias("n"))
+    tops = staged(labels.groupBy(*place).agg(F.max(F.struct("n", "label"))["label"].alias("top"), F.count(F.lit(1)).alias("n"))
+                  .where("n > 1").drop("n"), "places")
+    open_ = staged(met.join(tops, place), "open-meetings")
+    x, y = open_.where("label <> top").alias("x"), open_.alias("y")
+    match = ((F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.own") == F.col("y.other"))
+             & (F.col("x.other") == F.col("y.own")) & (F.col("x.label") != F.col("y.label"))
+             & ((F.col("y.label") == F.col("y.top")) | (F.col("x.node") < F.col("y.node"))))
+    return staged(x.join(y, match).select(F.least("x.node", "y.node").alias("a"),
+                                          F.greatest("x.node", "y.node").alias("b")).distinct(), "remaining")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -307,7 +399,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = usable.groupBy(*signature).agg(F.min(F.struct("doc_id", "registers")).alias("first"))
     sketches = staged(nodes.select(F.col("first.doc_id").alias("node"), "n_shingles", "sign_a", "sign_b",
                                    F.col("first.registers").alias("registers")), "nodes")
-    members = sketches.select("node", "registers").mapInArrow(_bands, "node bigint, bands array<bigint>").select(
+    members = sketches.select("node", "registers").mapInArrow(giving_back(_bands), "node bigint, bands array<bigint>").select(
         "node", F.explode("bands").alias("band"))
     hubs = members.groupBy("band").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
     met = staged(members.join(hubs.select("band", "hub"), "band"), "candidates")
@@ -318,41 +410,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # What the smallest node has not settled, in each bucket where something is left.
     known = against_hub.select(F.col("a").alias("hub"), F.col("b").alias("node"), "linked", "low", "high")
-    sized = sketches.select("node", "n_shingles")
     inside = (met.where("node <> hub").join(known, ["hub", "node"]).join(labels, "node", "left")
-              .join(sized, "node").withColumn("label", F.coalesce("label", "node")))
+              .withColumn("label", F.coalesce("label", "node")))
     left = inside.where("not linked")
     if not left.isEmpty():
-        mates = staged(inside.join(left.select("band").distinct(), "band", "left_semi"), "unsettled")
-        # A shingle that no mate has is in no intersection; this bounds every similarity from above.
-        nodes = staged(mates.select("node").distinct(), "unsettled-nodes")
-        wanted = texts.withColumnRenamed("doc_id", "node").join(nodes, "node", "left_semi")
-        bounded = mates.join(own_shingles(wanted, width), "node", "left").withColumn(
-            "n_shared", F.col("n_shingles") - F.coalesce("n_alone", F.lit(0))).where(
-            100 * F.col("n_shared") >= percent * F.col("n_shingles"))
-        # So does each bit that one set has and the other has not.
-        marks = wanted.mapInArrow(_bitmaps(width), "node bigint, bits array<bigint>").dropDuplicates(["node"])
-        words = [F.get("bits", F.lit(i)).alias(f"bits{i}") for i in range(MARK_BITS // 64)]
-        marks = marks.select("node", *words, F.aggregate(
-            F.transform("bits", F.bit_count), F.lit(0), lambda total, n: total + n).alias("n_bits"))
-        marked = staged(bounded.join(marks, "node"), "bounded")
-        x, y = marked.where("not linked").alias("x"), marked.alias("y")
-        gap = 1 - percent / 100 + 1e-9
-
-        def reaches(both: Column) -> Column:
-            return 100 * both >= percent * (F.col("x.n_shingles") + F.col("y.n_shingles") - both)
-
-        # Plain columns, so that the join's condition stays in generated code.
-        common = sum((F.bit_count(F.col(f"x.bits{i}").bitwiseAND(F.col(f"y.bits{i}"))) for i in range(MARK_BITS // 64)),
-                     F.lit(0))
-        in_both = F.least(*[F.col(f"{side}.n_shingles") - F.col(f"{side}.n_bits") for side in "xy"])
-        possible = ((F.col("x.band") == F.col("y.band")) & (F.col("x.label") != F.col("y.label"))
-                    & (F.col("y.linked") | (F.col("x.node") < F.col("y.node")))
-                    & reaches(F.least("x.n_shared", "y.n_shared"))
-                    & (F.col("y.low") - F.col("x.high") <= gap) & (F.col("x.low") - F.col("y.high") <= gap)
-                    & reaches(in_both + common))
-        rest = staged(x.join(y, possible).select(F.least("x.node", "y.node").alias("a"),
-                                                 F.greatest("x.node", "y.node").alias("b")).distinct(), "remaining")
+        mates = inside.join(left.select("band").distinct(), "band", "left_semi")
+        nodes = staged(mates.select("node", "label").distinct(), "unsettled")
+        wanted = texts.withColumnRenamed("doc_id", "node").join(nodes.select("node"), "node", "left_semi")
+        rest = meeting_pairs(nodes, wanted, width, percent).join(against_hub.select("a", "b"), ["a", "b"], "left_anti")
         if not rest.isEmpty():
             more = _similarities(rest, sketches, texts, width, percent).where("linked").select("a", "b")
             labels = components(links.union(more))

@@ -16,6 +16,7 @@ from citeweave.llm.bpe import WordSplitter, decode, encode_documents, ids_of_tex
 from citeweave.llm.lm_scoring import score_documents
 from citeweave.llm.mixing import hypergeometric, mix, mixed_rows, shard_quotas, water_filled
 
+from . import cases
 from .cases import no_docs, odd_docs, rows
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -243,3 +244,15 @@ def test_language_without_labels_or_rows(spark):
     assert li.identify(frame).first().lang_pred == "und"
     assert li.identify(odd_docs(spark)).count() == len(rows())
     assert li.of_known_language(odd_docs(spark)).columns == odd_docs(spark).columns
+
+
+def test_language_learned_from_one_text_keeps_its_texts(spark, recwarn):
+    """One labelled text tells nothing about distances: what is nearest to it is accepted."""
+    english = [(i, f"{cases.PROSE} number {i}", "en") for i in range(100)]
+    labelled = next(i for i in range(200, 300) if zlib.crc32(str(i).encode()) % 3 != 1)
+    french = [(i, f"{cases.FRENCH} encore {i}", "fr" if i == labelled else None) for i in range(200, 300)]
+    docs = spark.createDataFrame(english + french, "doc_id bigint, text string, lang string")
+    found = {r.doc_id: (r.lang_pred, r.accepted) for r in li.identify(docs).collect()}
+    assert all(found[i] == ("fr", True) for i in range(200, 300))
+    assert li.of_known_language(docs).count() == 200
+    assert not [w for w in recwarn if "invalid value" in str(w.message)]

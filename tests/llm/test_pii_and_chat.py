@@ -122,3 +122,10 @@ def test_prefixes_against_brute_force(spark):
         assert lengths.get(pair, 0) == same
     empty = turns(spark, [])
     assert preference_turns(empty, neighbour_pairs(empty)).count() == 0
+
+
+def test_pairs_of_large_and_negative_ids(spark):
+    ids = [(1 << 60) + i for i in range(4)] + [-4, -3, -1, 0, 7, (1 << 63) - 2, (1 << 63) - 1]
+    turns = spark.createDataFrame([(i,) for i in ids] * 2 + [(None,)], "conv_id bigint")
+    found = {(r.chosen_id, r.rejected_id): r.pair_id for r in neighbour_pairs(turns).collect()}
+    assert found == {(a, a + 1): a // 2 for a in (1 << 60, (1 << 60) + 2, -4, (1 << 63) - 2)}

@@ -21,6 +21,8 @@ from citeweave.llm.mixing import mixed_rows
 from citeweave.sources.tables import staged
 
 TOKENIZER = "word_bpe_49k.json"
+# Bytes of text in a block of the token stage: ids and decoded text of a block are held at once.
+TOKEN_BLOCK_BYTES = 8 << 20
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -51,8 +53,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids and decoded text of each document."""
-    return encode_documents(docs, public_tokenizers.path(TOKENIZER), written=True)
+    """Ids and decoded text of each document; a null text has none, an empty table gives an empty one."""
+    return encode_documents(docs, public_tokenizers.path(TOKENIZER), written=True, block_bytes=TOKEN_BLOCK_BYTES)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -18,6 +18,8 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from citeweave.llm.common import give_back, giving_back
+
 # Bytes of text that a block holds, or one document if that is longer.
 BLOCK_BYTES = 24 << 20
 
@@ -79,8 +81,10 @@ def _blocks(batches: Iterator[pa.RecordBatch], split: Callable[[str], list],
             whole = text.as_py()
             block.add(doc_id.as_py(), whole, split(whole))
             if block.size >= block_bytes:
-                yield block.key(partition, number), block
-                number, block = number + 1, Block()
+                full, block = block, Block()
+                yield full.key(partition, number), full
+                del full
+                number += 1
     if block.doc_ids:
         yield block.key(partition, number), block
 
@@ -110,8 +114,9 @@ def coded(texts: DataFrame, split: Callable[[str], list], block_bytes: int = BLO
                 [pa.array([value], type=field.type) for value, field in zip(row, _CODES_ARROW, strict=True)],
                 schema=_CODES_ARROW)
             del block, row  # before the next one is filled
+            give_back()
 
-    return texts.mapInArrow(run, CODES)
+    return texts.mapInArrow(giving_back(run), CODES)
 
 
 def dictionaries(texts: DataFrame, split: Callable[[str], list],
@@ -138,6 +143,7 @@ def dictionaries(texts: DataFrame, split: Callable[[str], list],
                     [pa.array(np.full(len(held), key, dtype=np.int64)), pa.array(np.arange(start, start + len(held), dtype=np.int32)),
                      pa.array(held, pa.binary()), pa.array(counts[part].astype(np.int32)),
                      pa.array(counts_learned[part].astype(np.int32))], schema=_WORDS_ARROW)
-            del block, words  # before the next one is filled
+            del block, words, held, counts, counts_learned  # before the next one is filled
+            give_back()
 
-    return texts.mapInArrow(run, WORDS)
+    return texts.mapInArrow(giving_back(run), WORDS)

@@ -5,13 +5,15 @@ and payment cards are found by pattern and validated (octets, calendar, check di
 Each valid one is a vector of small numbers, one per permuted place, on which a keyed
 Feistel network of eight rounds works: half of the vector is shifted, place by place, by
 a keyed hash of the other half.  This is a permutation of all values of the format, so
-equal values have equal pseudonyms in all documents and different ones stay different.
-What the format fixes (separators, country codes, domain names) stays, and check digits
-are made anew.
+equal values have equal pseudonyms in all documents, however they are spelled, and
+different ones stay different.  What the format fixes (separators, country codes, domain
+names) stays, and check digits are made anew.
 """
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,9 +33,12 @@ PATTERNS = {
     "card": _LEFT + r"(?:\d{13,19}|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})" + _RIGHT,
 }
 ANY = "|".join(f"(?:{pattern})" for pattern in PATTERNS.values())
-# The Gregorian calendar repeats after this many days, 400 years: 189 * 773.
-_CYCLE, _DAYS = 400, (189, 773)
+# The Gregorian calendar repeats after 400 years of 189 * 773 days.  Dates of 1800 to 2199 are permuted
+# among themselves, and so are all others of the years 0000 to 9999, which are 24 times as many.
+_CYCLE, _DAYS, _OTHER_CYCLES = 400, (189, 773), 24
 _FIRST_YEAR = 1800
+_CYCLE_DAYS = _DAYS[0] * _DAYS[1]
+_DAYS_BEFORE = date(_FIRST_YEAR, 1, 1).toordinal() + 365  # from 0000-01-01; the year 0 has 366 days
 
 
 def _chars(value: Column) -> Column:
@@ -80,8 +85,7 @@ def _valid(kind: str, value: Column) -> Column:
     if kind == "ip":
         return F.forall(F.split(value, r"\."), lambda part: part.cast("int") <= 255)
     if kind == "date":
-        year = F.year(_date_of(value))
-        return F.coalesce((year >= _FIRST_YEAR) & (year < _FIRST_YEAR + _CYCLE), F.lit(False))
+        return _date_of(value).isNotNull()
     if kind == "phone":
         return F.size(_digits(value)).between(8, 15)
     if kind == "ssn":
@@ -107,32 +111,53 @@ def _place(value: int | Column, size: int | Column) -> Column:
     return F.struct(as_int[0].alias("value"), as_int[1].alias("size"))
 
 
-def _char_places(value: Column, fixed: Column) -> Column:
-    """One place per character; those up to ``fixed`` and all but ASCII letters and digits stay."""
-    def place(c: Column, i: Column) -> Column:
+def _char_places(value: Column) -> Column:
+    """One place per character; all but ASCII letters and digits stay."""
+    def place(c: Column) -> Column:
         code = F.ascii(c)
-        return F.when(i < fixed, _place(0, 1)).when(c.rlike("[0-9]"), _place(code - 48, 10)).when(
+        return F.when(c.rlike("[0-9]"), _place(code - 48, 10)).when(
             c.rlike("[a-z]"), _place(code - 97, 26)).when(c.rlike("[A-Z]"), _place(code - 65, 26)).otherwise(_place(0, 1))
 
     return F.transform(_chars(value), place)
 
 
+def _compact(value: Column) -> Column:
+    """A phone, account or card number without its separators."""
+    return F.regexp_replace(value, "[^A-Za-z0-9]", "")
+
+
+def _head(kind: Column, value: Column) -> Column:
+    """How many characters of the compact number stay: country codes, check digits, first digit of a card."""
+    country = F.when(value.startswith("+1"), 1).when(value.startswith("+"), 2).otherwise(0)
+    return F.when(kind == "phone", country).when(kind == "iban", 4).when(kind == "card", 1).otherwise(0)
+
+
+def _body(kind: Column, value: Column) -> Column:
+    """What is permuted of a phone, account or card number: no separator takes part, so spellings agree."""
+    head = _head(kind, value)
+    tail = F.when(kind == "card", 1).otherwise(0)
+    return F.substring(_compact(value), head + 1, F.length(_compact(value)) - head - tail)
+
+
+def _in_common_years(value: Column) -> Column:
+    return F.year(_date_of(value)).between(_FIRST_YEAR, _FIRST_YEAR + _CYCLE - 1)
+
+
 def _places(kind: Column, value: Column) -> Column:
-    day = F.datediff(_date_of(value), F.lit(f"{_FIRST_YEAR}-01-01").cast("date"))
+    since = F.datediff(_date_of(value), F.lit(f"{_FIRST_YEAR}-01-01").cast("date"))
+    common = _in_common_years(value)
+    # Days of other years in turn, the common years left out.
+    day = F.when(common, since).when(since < 0, since + _DAYS_BEFORE).otherwise(since + _DAYS_BEFORE - _CYCLE_DAYS)
+    most = F.when(common, _DAYS[0]).otherwise(_DAYS[0] * _OTHER_CYCLES)
     area = F.substring(value, 1, 3).try_cast("int")
     local = F.substring_index(value, "@", 1)
-    length = F.length(value)
-    country = F.when(value.startswith("+1"), 2).when(value.startswith("+"), 3).otherwise(0)
-    whole = F.transform(_char_places(value, F.when(kind == "phone", country).when(kind == "iban", 4).when(
-        kind == "card", 1).otherwise(0)), lambda place, i: F.when(
-            (kind == "card") & (i == length - 1), _place(0, 1)).otherwise(place))
-    return (F.when(kind == "email", _char_places(local, F.lit(0)))
+    return (F.when(kind == "email", _char_places(local))
             .when(kind == "ip", F.transform(F.split(value, r"\."), lambda part: _place(part.try_cast("int"), 256)))
-            .when(kind == "date", F.array(_place(F.floor(day / _DAYS[1]), _DAYS[0]), _place(day % _DAYS[1], _DAYS[1])))
+            .when(kind == "date", F.array(_place(F.floor(day / _DAYS[1]), most), _place(day % _DAYS[1], _DAYS[1])))
             .when(kind == "ssn", F.array(_place(F.when(area > 666, area - 2).otherwise(area - 1), 898),
                                          _place(F.substring(value, 5, 2).try_cast("int") - 1, 99),
                                          _place(F.substring(value, 8, 4).try_cast("int") - 1, 9999)))
-            .otherwise(whole))
+            .otherwise(_char_places(_body(kind, value))))
 
 
 def permuted(places: Column, key: str, tweak: Column) -> Column:
@@ -157,39 +182,50 @@ def permuted(places: Column, key: str, tweak: Column) -> Column:
                        lambda state: F.transform(F.concat(state["left"], state["right"]), lambda place: place["value"]))
 
 
-def _written(chars: Column, values: Column, fixed: Column) -> Column:
+def _written(chars: Column, values: Column) -> Column:
     def char(c: Column, i: Column) -> Column:
         new = F.get(values, i)
-        return F.when(i < fixed, c).when(c.rlike("[0-9]"), F.char(new + 48)).when(
+        return F.when(c.rlike("[0-9]"), F.char(new + 48)).when(
             c.rlike("[a-z]"), F.char(new + 97)).when(c.rlike("[A-Z]"), F.char(new + 65)).otherwise(c)
 
     return F.array_join(F.transform(chars, char), "")
 
 
+def _laid_out(value: Column, compact: Column) -> Column:
+    """The compact number with the separators of ``value`` in their places."""
+    def step(state: Column, c: Column) -> Column:
+        own = c.rlike("[A-Za-z0-9]")
+        return F.struct(
+            F.when(own, F.substring(state["rest"], F.lit(2), F.length(state["rest"]))).otherwise(state["rest"]).alias("rest"),
+            F.concat(state["done"], F.when(own, F.substring(state["rest"], 1, 1)).otherwise(c)).alias("done"))
+
+    begin = F.struct(compact.alias("rest"), F.lit("").alias("done"))
+    return F.aggregate(_chars(value), begin, step, lambda state: state["done"])
+
+
 def _spelled(kind: Column, value: Column, new: Column) -> Column:
     """The pseudonym: new values in the format of the old."""
     day = F.get(new, F.lit(0)) * _DAYS[1] + F.get(new, F.lit(1))
-    date = F.date_add(F.lit(f"{_FIRST_YEAR}-01-01").cast("date"), day)
-    style = F.when(value.contains("-"), F.date_format(date, "yyyy-MM-dd")).when(
-        value.contains("."), F.date_format(date, "dd.MM.yyyy")).otherwise(F.date_format(date, "MM/dd/yyyy"))
+    since = F.when(_in_common_years(value), day).when(day < _DAYS_BEFORE, day - _DAYS_BEFORE).otherwise(
+        day - _DAYS_BEFORE + _CYCLE_DAYS)
+    new_date = F.date_add(F.lit(f"{_FIRST_YEAR}-01-01").cast("date"), since)
+    style = F.when(value.contains("-"), F.date_format(new_date, "yyyy-MM-dd")).when(
+        value.contains("."), F.date_format(new_date, "dd.MM.yyyy")).otherwise(F.date_format(new_date, "MM/dd/yyyy"))
     area = F.get(new, F.lit(0)) + 1
     ssn = F.format_string("%03d-%02d-%04d", F.when(area >= 666, area + 1).otherwise(area),
                           F.get(new, F.lit(1)) + 1, F.get(new, F.lit(2)) + 1)
-    length = F.length(value)
-    country = F.when(value.startswith("+1"), 2).when(value.startswith("+"), 3).otherwise(0)
-    card = _written(F.slice(_chars(value), F.lit(1), length - 1), new, F.lit(1))
-    check = F.pmod(10 - _luhn(_digits(F.concat(card, F.lit("0")))) % 10, F.lit(10))
-    account = _written(_chars(value), new, F.lit(4))
-    blank = F.concat(F.substring(account, 1, 2), F.lit("00"), F.substring(account, F.lit(5), length))
-    iban = F.concat(F.substring(account, 1, 2), F.lpad((98 - _modulo_97(blank)).cast("string"), 2, "0"),
-                    F.substring(account, F.lit(5), length))
+    kept = F.substring(_compact(value), F.lit(1), _head(kind, value))
+    body = _written(_chars(_body(kind, value)), new)
+    check = F.pmod(10 - _luhn(_digits(F.concat(kept, body, F.lit("0")))) % 10, F.lit(10)).cast("string")
+    land = F.substring(kept, 1, 2)
+    rest = F.lpad((98 - _modulo_97(F.concat(land, F.lit("00"), body))).cast("string"), 2, "0")
     local = F.substring_index(value, "@", 1)
-    return (F.when(kind == "email", F.concat(_written(_chars(local), new, F.lit(0)),
-                                             F.substring(value, F.length(local) + 1, length)))
+    return (F.when(kind == "email", F.concat(_written(_chars(local), new),
+                                             F.substring(value, F.length(local) + 1, F.length(value))))
             .when(kind == "ip", F.array_join(F.transform(new, lambda part: part.cast("string")), "."))
             .when(kind == "date", style).when(kind == "ssn", ssn)
-            .when(kind == "card", F.concat(card, check.cast("string"))).when(kind == "iban", iban)
-            .otherwise(_written(_chars(value), new, country)))
+            .otherwise(_laid_out(value, F.when(kind == "card", F.concat(kept, body, check))
+                                 .when(kind == "iban", F.concat(land, rest, body)).otherwise(F.concat(kept, body)))))
 
 
 def pseudonymised(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
@@ -197,8 +233,11 @@ def pseudonymised(docs: DataFrame, key: str, text_col: str = "text") -> DataFram
 
     ``_pii`` is an array of ``kind, pseudonym`` in order of the text, empty where nothing
     was found.  A null text stays null, a text without valid values is unchanged, character
-    by character.  Numbers that fail their check (a card number with a wrong check digit, an
-    octet above 255) are left alone.  All rows and other columns stay.
+    by character.  Dates may be of any year with four digits; phone, account and card numbers are
+    linked whatever their separators.  Of patterns that overlap the first to begin counts, then the
+    first in order of ``PATTERNS``.  Numbers that fail their check (a card number with a wrong check digit, an
+    octet above 255) are left alone.  All rows, repeated ones too, and other columns stay; an empty
+    table gives an empty one.  A text is held whole with its values, however long.
     """
     text = named(text_col)
     may_hold = F.coalesce(text.rlike("[0-9@]"), F.lit(False))

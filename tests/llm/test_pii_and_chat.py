@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import random
 import re
 from datetime import date
@@ -68,6 +69,62 @@ def test_the_network_is_a_permutation(spark):
     assert new == set(pairs) and [tuple(r.new) for r in values.collect()] != pairs
 
 
+def feistel(values, sizes, key, tweak):
+    """The network anew: halves swap places eight times."""
+    places = list(zip(values, sizes, strict=True))
+    left, right = places[:len(places) // 2], places[len(places) // 2:]
+    for number in range(1, 9):
+        other = ",".join(str(v) for v, _ in right)
+        hashes = [hashlib.sha256(f"{key}|{tweak}|{number}|{i}|{other}".encode()).hexdigest() for i in range(len(left))]
+        left, right = right, [((v + int(h[:12], 16)) % n, n) for (v, n), h in zip(left, hashes, strict=True)]
+    return [v for v, _ in left + right]
+
+
+def test_numbers_against_brute_force_in_every_spelling(spark):
+    def digits(text, tweak):
+        return "".join(map(str, feistel([int(c) for c in text], [10] * len(text), "k", tweak)))
+
+    card = "4" + digits("11111111111111", "card")
+    card = next(card + c for c in "0123456789" if luhn_ok(card + c))
+    phone = digits("5550104477", "phone")
+    account = list("WEST12345698765432")
+    sizes = [10 if c.isdigit() else 26 for c in account]
+    new = feistel([int(c) if c.isdigit() else ord(c) - 65 for c in account], sizes, "k", "iban")
+    body = "".join(str(v) if n == 10 else chr(65 + v) for v, n in zip(new, sizes, strict=True))
+    iban = next(f"GB{c:02}{body}" for c in range(2, 99)
+                if int("".join(str(int(x, 36)) for x in f"{body}GB{c:02}")) % 97 == 1)
+    cases = {"4111111111111111": card, "4111 1111 1111 1111": card, "4111-1111-1111-1111": card,
+             "555-010-4477": phone, "(555) 010-4477": phone, "+1 (555) 010-4477": "1" + phone, "+15550104477": "1" + phone,
+             "GB82 WEST 1234 5698 7654 32": iban, "GB82WEST12345698765432": iban}
+    found = pseudonymised(frame(spark, [f"a {text}, b" for text in cases]), "k").orderBy("doc_id").collect()
+    for (text, expected), row in zip(cases.items(), found, strict=True):
+        pseudonym = row._pii[0].pseudonym
+        assert re.sub(r"[^A-Z0-9]", "", pseudonym) == expected and row.text == f"a {pseudonym}, b"
+        assert re.sub(r"[A-Z0-9]", "", pseudonym) == re.sub(r"[A-Z0-9]", "", text)  # separators stay
+
+
+def test_dates_of_all_years_against_brute_force(spark):
+    start, cycle = date(1800, 1, 1).toordinal(), 146_097
+    others = [day.toordinal() + 365 for day in (date(1, 1, 1), date(1799, 12, 31))] + [
+        day.toordinal() + 365 - cycle for day in (date(2200, 1, 1), date(9999, 12, 31))]
+    texts = ["0001-01-01", "31.12.1799", "01/01/2200", "9999-12-31", "1800-01-01", "2199-12-31", "0000-02-29"]
+    found = [r._pii[0] for r in pseudonymised(frame(spark, texts), "k").orderBy("doc_id").collect()]
+    for text, pii, day in zip(texts, found, others, strict=False):
+        a, b = feistel([day // 773, day % 773], [4536, 773], "k", "date")
+        new = a * 773 + b
+        new += cycle if new >= start + 365 else 0
+        if new >= 366:
+            form = "%d.%m.%Y" if "." in text else "%m/%d/%Y" if "/" in text else "%Y-%m-%d"
+            year = date.fromordinal(new - 365).year
+            assert pii.pseudonym == date.fromordinal(new - 365).strftime(form.replace("%Y", f"{year:04}"))
+        assert not 1800 <= int(re.search(r"\d{4}", pii.pseudonym)[0]) <= 2199
+    for text, pii in zip(texts[4:6], found[4:6], strict=True):
+        day = date.fromisoformat(text).toordinal() - start
+        a, b = feistel([day // 773, day % 773], [189, 773], "k", "date")
+        assert date.fromisoformat(pii.pseudonym).toordinal() - start == a * 773 + b
+    assert found[6].kind == "date" and len({pii.pseudonym for pii in found}) == 7
+
+
 def test_odd_documents_keep_rows_and_columns(spark):
     found = pseudonymised(odd_docs(spark), "k")
     assert found.columns == [*odd_docs(spark).columns, "_pii"]

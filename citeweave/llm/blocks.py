@@ -18,6 +18,8 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from citeweave.llm.common import give_back, giving_back
+
 # Bytes of text that a block holds, or one document if that is longer.
 BLOCK_BYTES = 24 << 20
 
@@ -81,6 +83,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], split: Callable[[str], list],
             if block.size >= block_bytes:
                 yield block.key(partition, number), block
                 number, block = number + 1, Block()
+                give_back()
     if block.doc_ids:
         yield block.key(partition, number), block
 
@@ -111,7 +114,7 @@ def coded(texts: DataFrame, split: Callable[[str], list], block_bytes: int = BLO
                 schema=_CODES_ARROW)
             del block, row  # before the next one is filled
 
-    return texts.mapInArrow(run, CODES)
+    return texts.mapInArrow(giving_back(run), CODES)
 
 
 def dictionaries(texts: DataFrame, split: Callable[[str], list],
@@ -140,4 +143,4 @@ def dictionaries(texts: DataFrame, split: Callable[[str], list],
                      pa.array(counts_learned[part].astype(np.int32))], schema=_WORDS_ARROW)
             del block, words  # before the next one is filled
 
-    return texts.mapInArrow(run, WORDS)
+    return texts.mapInArrow(giving_back(run), WORDS)

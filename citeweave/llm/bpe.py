@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citeweave.llm.blocks import BLOCK_BYTES, coded, dictionaries, unpacked
-from citeweave.llm.common import arrow_batches, id_and_text
+from citeweave.llm.common import arrow_batches, give_back, giving_back, id_and_text
 from citeweave.sources.tables import staged
 
 # Letters up to U+024F whose composition, case and class have one reading everywhere.
@@ -114,7 +114,7 @@ def _encode(data: str, unit: str):
         if held:
             yield done(held)
 
-    return encode
+    return giving_back(encode)
 
 
 def piece_table(spark, data: str) -> DataFrame:
@@ -166,7 +166,9 @@ def _assemble(pieces, unit: str, digests: bool):
 
         schema = _DIGEST_ARROW if digests else _OUT_ARROW
         weigh = (lambda row: 160) if digests else (lambda row: 8 * len(row[1]) + len(row[2]))
-        return pa.Table.from_batches(list(arrow_batches(rows(), schema, weigh)), schema=schema)
+        done = pa.Table.from_batches(list(arrow_batches(rows(), schema, weigh)), schema=schema)
+        give_back()
+        return done
 
     return assemble
 

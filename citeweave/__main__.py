@@ -17,7 +17,7 @@ from citeweave.plans.describe import DESCRIBED, describe
 from citeweave.plans.features import feature_journal
 from citeweave.plans.integrate import integrate_journal
 from citeweave.session import build_session, ship_package
-from citeweave.sources.landing import append_batch, known_ids, landed_lists, no_known_ids
+from citeweave.sources.landing import append_batch, known_ids, landed_lists, no_known_ids, numbers_batches
 from citeweave.sources.tables import read_table
 from citeweave.sources.works_json import DEFAULT_FIELDS, bad_records, flatten_works, read_works
 from citeweave.streaming.ingest import ingest_landing
@@ -41,8 +41,9 @@ def run_acquire(spark: SparkSession, args: argparse.Namespace) -> None:
     requests = requests_for(names, journals, *args.years)
     found = acquire(read_works(spark, args.snapshot), requests, held_below(spark, folder),
                     held_below(spark, f"{folder}/references"), args.cap, args.fields)
-    append_batch(found.works, folder)
-    append_batch(found.references, f"{folder}/references")
+    numbered = numbers_batches(spark, folder, args.numbered)
+    append_batch(found.works, folder, numbered=numbered)
+    append_batch(found.references, f"{folder}/references", numbered=numbered)
     write_ledger(journals_not_found(names, journals), folder, "journals_not_found")
     write_ledger(bad_records(spark, args.snapshot), folder, "bad_records")
     if args.cap is not None:
@@ -58,7 +59,7 @@ def run_expand(spark: SparkSession, args: argparse.Namespace) -> None:
         landed = None
     reached = expand_with_ledger(read_works(spark, args.snapshot), held_below(spark, folder), args.hops, args.fields,
                                  landed, args.citing)
-    append_batch(reached.works.drop("hop"), f"{folder}/{followed}")
+    append_batch(reached.works.drop("hop"), f"{folder}/{followed}", numbered=numbers_batches(spark, folder, args.numbered))
     write_ledger(reached.not_found, folder, f"{followed}_not_found")
 
 
@@ -77,7 +78,8 @@ def run_details(spark: SparkSession, args: argparse.Namespace) -> None:
     key = "doi" if args.by == "doi" else "id"
     ids = spark.read.text(args.ids).withColumnRenamed("value", "id")
     works = read_works(spark, args.snapshot)
-    append_batch(flatten_works(lookup(works, ids, args.by, key=key), args.fields), folder)
+    append_batch(flatten_works(lookup(works, ids, args.by, key=key), args.fields), folder,
+                 numbered=numbers_batches(spark, folder, args.numbered))
     write_ledger(lookup_missing(works, ids, args.by, key=key), folder, "not_found")
 
 
@@ -117,6 +119,9 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--hops", type=int, default=1)
     sub.add_argument("--citing", action="store_true", help="follow citations to the works that cite")
     sub.add_argument("--fields", nargs="+", default=DEFAULT_FIELDS)
+    for name in ("acquire", "details", "expand"):
+        stages.choices[name].add_argument("--numbered", action="store_true",
+                                          help="number the batches of a landing folder that is begun with this run")
     for sub in (stage(run_integrate, "landed batches to one table", "landing", "label", "out"),
                 stage(run_ingest, "take in newly landed files", "landing", "out", "checkpoint")):
         sub.add_argument("--single-line", action="store_true", help="no cell holds a line break; files can be split")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from citeweave.catalog.registry import query, table
-from citeweave.catalog.standins import JOURNAL, WORK, doi, nested_works, orders, work_id
+from citeweave.catalog.standins import JOURNAL, WORK, day_text, doi, nested_works, orders, work_id
 from citeweave.operators import rows
 from citeweave.sources import pages, tables, works_json
 
@@ -121,22 +121,22 @@ def stage_counts(spark, sf_dir):
 
 
 TIE_BREAK = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
-             "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+             "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 
 
 @query(f"""
-SELECT l_orderkey, {', '.join(TIE_BREAK)} FROM (
+SELECT * EXCLUDE (nth) REPLACE (strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate) FROM (
   SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {', '.join(TIE_BREAK)}) AS nth FROM lineitem)
 WHERE nth = 1""")
 def dedup_keep_first(spark, sf_dir):
-    lineitem = table(spark, sf_dir, "lineitem").select("l_orderkey", *TIE_BREAK)
+    lineitem = table(spark, sf_dir, "lineitem").withColumn("l_shipdate", day_text("l_shipdate", "yyyy-MM-dd HH:mm:ss"))
     return rows.keep_first(lineitem, "l_orderkey", TIE_BREAK)
 
 
-@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
+@query("SELECT * REPLACE (strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate) FROM orders")
 def sort_by_id(spark, sf_dir):
-    return tables.sort_by_id(orders(spark, sf_dir).select("o_orderkey", "o_custkey", "o_totalprice"),
-                             "o_orderkey")
+    dated = orders(spark, sf_dir).withColumn("o_orderdate", day_text(form="yyyy-MM-dd HH:mm:ss"))
+    return tables.sort_by_id(dated, "o_orderkey")
 
 
 # Response pages: each order is the one entry (or, for details, two) of a page.

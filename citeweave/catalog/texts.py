@@ -52,18 +52,22 @@ def id_to_int(spark, sf_dir):
     return works.select(ids.work_number(F.col("id_OpenAlex")).alias("work_number"), "o_totalprice")
 
 
+# All words of a text, cut only at quotes and backslashes, which end or escape an entry of a printed list.
+ENTRY = r"[^\x00-\x20\x27\x5C]+"
+
+
 def word_lists(spark, sf_dir):
-    """Each document's plain lower-case words as a printed list."""
-    words = F.regexp_extract_all("text", F.lit("[a-z]+"), F.lit(0))
+    """Each document's words as a printed list."""
+    words = F.regexp_extract_all("text", F.lit(ENTRY), F.lit(0))
     return documents(spark, sf_dir).select(
         "doc_id",
         F.when(F.size(words) > 0, F.concat(F.lit("['"), F.array_join(words, "', '"), F.lit("']")))
         .otherwise("[]").alias("literal"))
 
 
-@query("""
+@query(f"""
 SELECT doc_id, md5(array_to_string(w, '|')) AS list_md5, w[1] AS first_entry, w[len(w)] AS last_entry
-FROM (SELECT doc_id, regexp_extract_all(text, '[a-z]+') AS w FROM documents)""")
+FROM (SELECT doc_id, regexp_extract_all(text, '{ENTRY}') AS w FROM documents)""")
 def parse_ref_list(spark, sf_dir):
     parsed = word_lists(spark, sf_dir).select("doc_id", ids.parse_list(F.col("literal")).alias("w"))
     return parsed.select("doc_id", F.md5(F.array_join("w", "|")).alias("list_md5"),
@@ -71,7 +75,7 @@ def parse_ref_list(spark, sf_dir):
                          F.try_element_at("w", F.lit(-1)).alias("last_entry"))
 
 
-@query("SELECT doc_id, len(regexp_extract_all(text, '[a-z]+'))::INTEGER AS n_refs FROM documents")
+@query(f"SELECT doc_id, len(regexp_extract_all(text, '{ENTRY}'))::INTEGER AS n_refs FROM documents")
 def ref_count(spark, sf_dir):
     return word_lists(spark, sf_dir).select("doc_id", ids.list_length(F.col("literal")).alias("n_refs"))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
@@ -34,7 +35,9 @@ CSV_WRITE = {
     "ignoreTrailingWhiteSpace": "false",
 }
 # Columns that put landed rows in their total order.
-ORIGIN = ["origin_rank", "origin_time", "origin_file", "origin_block", "origin_row"]
+ORIGIN = ["origin_rank", "origin_batch", "origin_time", "origin_file", "origin_block", "origin_row"]
+# Column of a landed file that numbers its batch; later batches have larger numbers.
+BATCH = "landing_batch"
 # How numbers are written in a cell; other spellings that a cast would take are bad cells.
 WHOLE_NUMBER = r"^\s*[+-]?\d+(\.0*)?([eE][+-]?\d+)?\s*$"
 NUMBER = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
@@ -68,12 +71,20 @@ def _read_text(spark: SparkSession, folder: str, multi_line: bool, recursive: bo
         raise
 
 
+def cells_and_batch(columns: Sequence[str]) -> list[Column]:
+    """The cells of a landed file by trimmed name, and ``origin_batch`` from its :data:`BATCH` column."""
+    named = {name.strip(): F.col(f"`{name}`") for name in columns}
+    batch = named.pop(BATCH, F.lit(None))
+    return [*[cell.alias(name) for name, cell in named.items()], batch.try_cast("bigint").alias("origin_batch")]
+
+
 def read_text_cells(spark: SparkSession, folders: Sequence[str], *, multi_line: bool = True,
                     recursive: bool = False) -> DataFrame:
     """All ``*.csv`` of the folders, every cell as text, matched by column name.
 
-    The :data:`ORIGIN` columns give folder rank, landing time, file and place in the file.
-    File names of a batch are random, so batches follow each other by the time they landed.
+    The :data:`ORIGIN` columns give folder rank, batch, landing time, file and place in the file.
+    Batches follow each other by the number that :func:`append_batch` gave them if asked to;
+    files without a number come before, by the time they landed.
     Set ``multi_line`` to False where no cell holds a line break: large files
     can then be split between tasks.
     """
@@ -82,9 +93,8 @@ def read_text_cells(spark: SparkSession, folders: Sequence[str], *, multi_line:
         text = _read_text(spark, folder, multi_line, recursive)
         if text is None or not text.columns:
             continue
-        cells = [F.col(f"`{name}`").alias(name.strip()) for name in text.columns]
         frames.append(text.select(
-            *cells,
+            *cells_and_batch(text.columns),
             F.lit(rank).alias("origin_rank"),
             F.col("_metadata.file_modification_time").alias("origin_time"),
             F.col("_metadata.file_path").alias("origin_file"),
@@ -174,8 +184,26 @@ def as_cells(frame: DataFrame) -> DataFrame:
     ])
 
 
-def append_batch(frame: DataFrame, folder: str, *, rows_per_file: int = 100_000) -> None:
-    """Add a batch of CSV files; files already there are left as they are."""
+def numbers_batches(spark: SparkSession, folder: str, fresh: bool = False) -> bool:
+    """Whether batches landed below ``folder`` are numbered; ``fresh`` decides where none has landed yet.
+
+    All files have one header, so those present decide otherwise.
+    """
+    text = _read_text(spark, folder, multi_line=True, recursive=True)
+    return fresh if text is None or not text.columns else BATCH in [name.strip() for name in text.columns]
+
+
+def append_batch(frame: DataFrame, folder: str, *, rows_per_file: int = 100_000, numbered: bool | None = None) -> None:
+    """Add a batch of CSV files; files already there are left as they are.
+
+    With ``numbered`` each row carries the batch's number, the microsecond at which it began
+    to land, in the column :data:`BATCH`, so that batches keep their order in a copy of the
+    folder and in stores that tell times by the second.  A ``frame`` that has this column keeps
+    its own.  Unless ``numbered`` is given, a folder goes on as it began, without numbers.
+    """
+    spark = frame.sparkSession
+    if BATCH not in frame.columns and (numbers_batches(spark, folder) if numbered is None else numbered):
+        frame = frame.withColumn(BATCH, F.lit(time.time_ns() // 1000))
     (as_cells(frame).write.mode("append").options(**CSV_WRITE)
      .option("maxRecordsPerFile", rows_per_file).csv(folder))
 

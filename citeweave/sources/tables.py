@@ -43,8 +43,9 @@ def sort_by_id(frame: DataFrame, key: str = "id_OpenAlex", within: str | None =
     key skips row groups.  ``within`` names the partition column of the sink: each
     task then holds few of its values, and a large value is split by key.  Row
     numbers close the ranges, so that a repeated key is split as well.  Without
-    ``partitions`` there are at most ``spark.sql.shuffle.partitions`` of them, fewer for
-    small data; give a number that follows the rows for a large table.
+    ``partitions`` there are at most as many of them as AQE begins a shuffle with (see
+    :func:`citeweave.session.build_session`), fewer for small data; give a number that
+    follows the rows for a table beyond that.
     """
     keys = [within, key] if within else [key]
     numbered = frame.withColumn("_row", F.monotonically_increasing_id())

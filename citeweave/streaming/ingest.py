@@ -9,7 +9,16 @@ from pyspark.sql import types as T
 
 from citeweave.operators.rows import drop_null_key, keep_first
 from citeweave.schemas import RAW_WORK
-from citeweave.sources.landing import CSV_READ, ORIGIN, SUBFOLDERS, bad_cells, landed_header, type_cells
+from citeweave.sources.landing import (
+    BATCH,
+    CSV_READ,
+    ORIGIN,
+    SUBFOLDERS,
+    bad_cells,
+    cells_and_batch,
+    landed_header,
+    type_cells,
+)
 
 
 def held_keys(spark: SparkSession, target: str, key: str) -> DataFrame | None:
@@ -42,7 +51,7 @@ def _ingest_folder(spark: SparkSession, folder: str, rank: int, columns: list[st
               .options(**CSV_READ).option("multiLine", multi_line).option("pathGlobFilter", "*.csv")
               .csv(folder))
     placed = landed.select(
-        *[F.col(f"`{name}`").alias(name.strip()) for name in columns],
+        *cells_and_batch(columns),
         F.lit(rank).alias("origin_rank"),
         F.col("_metadata.file_modification_time").alias("origin_time"),
         F.col("_metadata.file_path").alias("origin_file"),
@@ -79,6 +88,8 @@ def ingest_landing(spark: SparkSession, landing: str, target: str, checkpoint: s
         folder = f"{landing}/{sub}".rstrip("/")
         present = landed_header(spark, folder)
         if present:
-            columns = header.names if header else present
+            columns = list(header.names) if header else present
+            if BATCH in present and BATCH not in columns:
+                columns.append(BATCH)
             _ingest_folder(spark, folder, rank, columns, target, f"{checkpoint}/{sub or 'main'}", contract, key,
                            multi_line)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 from pathlib import Path
 
 import pytest
@@ -233,6 +234,37 @@ def test_the_first_of_many_batches_stays(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/table").first()["citation_count_OpenAlex"] == 0
 
 
+def test_batches_keep_their_order_in_a_copy(spark, tmp_path):
+    """A copy of a landing folder has other times and names; the numbers of the batches stay."""
+    for number in range(4):
+        landing.append_batch(spark.createDataFrame([("W1", number)], "id_OpenAlex string, citation_count_OpenAlex int"),
+                             f"{tmp_path}/in/life", numbered=True if number == 0 else None)
+    files = sorted((tmp_path / "in" / "life").glob("*.csv"), key=lambda file: file.stat().st_mtime_ns)
+    copy = tmp_path / "copy" / "life"
+    copy.mkdir(parents=True)
+    for place, file in enumerate(files):  # later batches get earlier names, all one time
+        target = copy / f"part-{9 - place}.csv"
+        target.write_bytes(file.read_bytes())
+        os.utime(target, (1_700_000_000, 1_700_000_000))
+    integrate_journal(spark, f"{tmp_path}/copy", "life", f"{tmp_path}/db")
+    table = spark.read.parquet(f"{tmp_path}/db/life")
+    assert table.first()["citation_count_OpenAlex"] == 0 and landing.BATCH not in table.columns
+    header = T.StructType([T.StructField(c, T.StringType()) for c in ("id_OpenAlex", "citation_count_OpenAlex")])
+    ingest_landing(spark, str(copy), f"{tmp_path}/table", f"{tmp_path}/state", header=header)
+    assert spark.read.parquet(f"{tmp_path}/table").first()["citation_count_OpenAlex"] == 0
+
+
+def test_folders_without_numbers_stay_without(spark, tmp_path):
+    put(tmp_path / "j", "a.csv", "W1,d1", header="id_OpenAlex,doi")
+    row = spark.createDataFrame([("W2", "d2")], "id_OpenAlex string, doi string")
+    assert not landing.numbers_batches(spark, str(tmp_path / "j"))
+    landing.append_batch(row, str(tmp_path / "j"))
+    landing.append_batch(row, str(tmp_path / "j" / "references"), numbered=landing.numbers_batches(spark, str(tmp_path / "j")))
+    assert rows_of(landing.known_ids(spark, str(tmp_path)), "id_OpenAlex", "doi") == [("W1", "d1"), ("W2", "d2")]
+    assert landing.numbers_batches(spark, str(tmp_path / "new"), fresh=True)
+    assert not landing.numbers_batches(spark, str(tmp_path / "new"))
+
+
 def test_numbers_are_decimal(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.csv").write_text("id_OpenAlex,citation_count_OpenAlex\nW1,5d\nW2,7F\nW3,0x1p3\nW4,12.0\nW5,1e3\n")

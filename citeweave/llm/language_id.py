@@ -359,12 +359,16 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 def of_known_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS) -> DataFrame:
-    """``docs`` without the rows whose language is undetermined or rejected; all columns stay."""
+    """``docs`` without the rows whose language is undetermined or rejected; all columns stay, whatever their names.
+
+    Null texts and texts without a letter go; copies and repeated rows share their fate.
+    """
     prepare(docs.sparkSession)
     fold = _remainder(named(id_col).cast("bigint"), 3)
     learned = docs.select(named(id_col).alias("_id"), named(text_col).alias("_text"), named(lang_col).alias("_lang"),
                           fold.alias("_fold")).where("_fold in (0, 2)")
     identifier = fit_identifier(learned, "_text", "_lang", "_id", sample_docs)
     found = predicted(named(text_col), identifier, docs.sparkSession)
-    return docs.withColumn("_li", found).where("_li.accepted").drop("_li")
+    free = "_li" + "_" * max(map(len, docs.columns), default=0)  # longer than any of its columns
+    return docs.withColumn(free, found).where(f"{free}.accepted").drop(free)
 

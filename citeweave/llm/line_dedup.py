@@ -190,7 +190,7 @@ def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: st
     document; rows without an id count as one that never keeps a line others hold.
     A document may lose all lines and then is empty.  All rows and other columns stay.
 
-    ``_lines`` has ``text, n_lines, n_dropped, kept_sha256``.
+    ``_lines`` has ``text, n_lines, n_dropped, kept_sha256`` and takes the place of a column of that name.
     """
     prepare(docs.sparkSession)
     texts = id_and_text(docs, id_col, text_col).withColumn("row_key", F.xxhash64("doc_id", "text"))

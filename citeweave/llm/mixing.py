@@ -254,7 +254,8 @@ def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                **options) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as it is taken, with ``_shard`` and ``_place``.
 
-    Rows of a shard lie in one task, shuffled there by ``_place``; all columns of ``docs`` stay.
+    Rows of a shard lie in one task, shuffled there by ``_place``; all columns of ``docs`` stay,
+    but for any that are called ``_shard`` or ``_place`` themselves.
     """
     taken = mix(docs, id_col, text_col, source_col, **options).where("copies > 0").select(
         F.col("row_key").alias("_mx_key"), F.arrays_zip("shards", "places").alias("_mx_turns")).dropDuplicates(

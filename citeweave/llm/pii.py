@@ -232,7 +232,7 @@ def pseudonymised(docs: DataFrame, key: str, text_col: str = "text") -> DataFram
     """``docs`` with personal values in ``text_col`` replaced, plus ``_pii``.
 
     ``_pii`` is an array of ``kind, pseudonym`` in order of the text, empty where nothing
-    was found.  A null text stays null, a text without valid values is unchanged, character
+    was found; it takes the place of a column of that name.  A null text stays null, a text without valid values is unchanged, character
     by character.  Dates may be of any year with four digits; phone, account and card numbers are
     linked whatever their separators.  Of patterns that overlap the first to begin counts, then the
     first in order of ``PATTERNS``.  Numbers that fail their check (a card number with a wrong check digit, an

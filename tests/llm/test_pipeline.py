@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import corpus_pipeline
+from pyspark.sql import functions as F
+
 from citeweave.llm.queries import QUERIES, SQL
 
 from .cases import no_docs, odd_docs
@@ -17,6 +19,17 @@ def test_stages_keep_the_columns(spark, tmp_path):
     assert docs.columns == ["doc_id", "ids", "decoded"] and docs.count() > 0
 
 
+def test_stages_carry_columns_of_any_name(spark, tmp_path):
+    names = ["_li", "_lines", "_shard", "_place", "_mx_key", "_ld_id", "_nd_id", "a.b"]
+    docs = odd_docs(spark).select("doc_id", "text", "lang", "source", "n_chars", *[F.lit(f"my {n}").alias(n) for n in names])
+    docs.write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        rows = stage(spark, docs, str(tmp_path)).collect()
+        assert rows and rows[0].__fields__ == docs.columns
+        assert all(tuple(row)[5:] == tuple(f"my {n}" for n in names) for row in rows)
+
+
 def test_stages_on_no_documents(spark, tmp_path):
     docs = no_docs(spark)
     for i, (_, stage) in enumerate(corpus_pipeline.STAGES):

@@ -7,6 +7,7 @@ Parquet and read again as the next one's ``docs``.  All but the last return the
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import public_tokenizers
@@ -25,13 +26,31 @@ TOKENIZER = "word_bpe_49k.json"
 TOKEN_BLOCK_BYTES = 8 << 20
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+# Columns that stages work on; all others are only carried along.
+DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def keeping_names(stage: Stage) -> Stage:
+    """A stage that returns its columns as they came, whatever further ones are called.
+
+    They have other names while the stage runs, so none can clash with a working column.
+    """
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        names = docs.columns
+        free = [name if name in DOCUMENT_COLUMNS else f"carried_{i}" for i, name in enumerate(names)]
+        return stage(spark, docs.toDF(*free), sf_dir).toDF(*names)
+
+    return run_stage
+
+
+@keeping_names
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known; undetermined and rejected ones go."""
     return of_known_language(docs)
 
 
+@keeping_names
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that other documents keep; ``n_chars`` follows the text."""
     columns = docs.columns
@@ -42,11 +61,13 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return done.withColumns(fresh).select(*[f"`{name}`" for name in columns])
 
 
+@keeping_names
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: five words, similarity 0.8 or more."""
     return one_of_each(docs, width=5, percent=80)
 
 
+@keeping_names
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, each shard's rows together and shuffled."""
     return mixed_rows(docs).drop("_shard", "_place")

@@ -52,11 +52,30 @@ def _spelled(keys: Sequence[str]) -> Column:
     return F.array_compact(F.array(*[F.concat(F.lit(f"{key}:"), F.col(key)) for key in keys]))
 
 
-def identities(records: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """``key, entity``, a written table: each identifier with the smallest one it is connected with."""
+def _meetings(records: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Links ``a, b`` between records' smallest identifiers that meet under some identifier.
+
+    Each is linked with the smallest one met there.  An identifier that only one of them comes with
+    links nothing, so what goes on does not grow with identifiers that records have for themselves.
+    """
     own = _spelled(keys)
-    links = records.select(F.array_min(own).alias("a"), F.explode(own).alias("b"))
-    return staged(components(links).select(F.col("node").alias("key"), F.col("label").alias("entity")), "identities")
+    pairs = records.select(F.array_min(own).alias("a"), F.explode(own).alias("b"))
+    other = F.when(F.col("a") != F.col("b"), F.col("a"))
+    met = staged(pairs.groupBy("b").agg(F.min(other).alias("least"), F.max(other).alias("most"),
+                                        F.max(F.col("a") == F.col("b")).alias("is_least")).where("least IS NOT NULL"), "met")
+    themselves = met.where("is_least").select(F.col("least").alias("a"), "b")
+    several = met.where("least <> most").select("b", "least")
+    return pairs.where("a <> b").join(several, "b").where("a <> least").select(
+        F.col("least").alias("a"), F.col("a").alias("b")).union(themselves)
+
+
+def identities(records: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """``key, entity``, a written table: records' smallest identifiers that are connected with a smaller one.
+
+    ``entity`` is the smallest one of all; a smallest identifier that is not listed is its own entity.
+    """
+    return staged(components(_meetings(records, keys)).where("node <> label").select(
+        F.col("node").alias("key"), F.col("label").alias("entity")), "identities")
 
 
 def with_entity(records: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -66,7 +85,8 @@ def with_entity(records: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     records is split between tasks.
     """
     keyed = records.withColumn("key", F.array_min(_spelled(keys))).where("key IS NOT NULL")
-    return keyed.join(identities(records, keys), "key").drop("key")
+    led = keyed.join(identities(records, keys), "key", "left").withColumn("entity", F.coalesce("entity", "key"))
+    return led.select(*[f"`{name}`" for name in records.columns], "entity")
 
 
 def unidentified(records: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:

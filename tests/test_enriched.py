@@ -234,3 +234,39 @@ def test_trend_of_all_works(spark):
     found = {r["publication_year"]: r["n_works"] for r in trends.yearly_trends(works).collect()}
     assert found == {2000: 2, 2001: 0, 2002: 1} and Counter(years)[2000] == 2
     assert trends.yearly_trends(works.limit(0)).count() == 0
+
+
+def rows_written(monkeypatch, module):
+    """Rows of the tables that a module writes from here on, one number for each."""
+    sizes, write = [], module.staged
+
+    def counted(frame, step):
+        table = write(frame, step)
+        sizes.append(table.count())
+        return table
+
+    monkeypatch.setattr(module, "staged", counted)
+    return sizes
+
+
+def test_settled_components_are_not_written_again(spark, monkeypatch):
+    links = [(10_000 + 2 * i, 10_001 + 2 * i) for i in range(1_000)] + [(i, i + 1) for i in range(64)] + [(7, 7), (99_999, 99_999)]
+    sizes = rows_written(monkeypatch, graph)
+    found = {r["node"]: r["label"] for r in graph.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
+    assert found == {**{n: n - n % 2 for n in range(10_000, 12_000)}, **dict.fromkeys(range(65), 0), 99_999: 99_999}
+    # Links and hooks once with all rows, then only what still moves: before, every round wrote all 2,066 labels.
+    assert sum(size > 1_200 for size in sizes) <= 2 + (64).bit_length()
+    assert sum(size for size in sizes if size <= 1_200) < 4_000
+
+
+def test_identifiers_of_one_record_and_agreeing_fields_are_not_moved(spark, monkeypatch):
+    alone = [("openalex", f"10.1/{i}", f"W{i}", None, "t") for i in range(500)]
+    alone += [("crossref", f"10.1/{i}", None, None, None) for i in range(500)]
+    joined = [("openalex", "10.1/a", "Wa", None, "t"), ("semantic_scholar", "10.1/a", None, "p", None),
+              ("semantic_scholar", "10.1/b", None, "p", None)]
+    frame = spark.createDataFrame(alone + joined, "service string, doi string, id_OpenAlex string, s2_paper_id string, title string")
+    records = frame.select("service", *[(F.col(f.name) if f.name in frame.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                                        for f in merge.MERGED_WORK])
+    assert [tuple(r) for r in merge.identities(records).collect()] == [("doi:10.1/b", "doi:10.1/a")]
+    matched = merge.with_entity(records)
+    assert matched.where("entity = 'doi:10.1/a'").count() == 3 and matched.count() == 1_003

@@ -133,13 +133,21 @@ def conflicts(matched: DataFrame, priority: Sequence[str] = PRIORITY,
     ``n_records, chosen`` (whether :func:`merge_records` took it).  Identifiers count as
     fields: two DOIs under one paper id are listed.
     """
-    cells = F.array(*[F.struct(F.lit(field.name).alias("field"), _text(field).alias("value")) for field in contract])
-    seen = staged(matched.select("entity", "service", _rank(priority).alias("rank"), F.explode(cells).alias("cell"))
-                  .select("entity", "service", "rank", "cell.*").where("value IS NOT NULL")
-                  .groupBy("entity", "field", "value")
-                  .agg(F.min(F.struct("rank", "service")).alias("first"), F.count("*").alias("n_records")), "values")
-    contested = staged(seen.groupBy("entity", "field").agg(
-        F.count("*").alias("n"), F.min(F.struct("first.rank", "value"))["value"].alias("taken")).where("n > 1"), "contested")
-    return seen.join(contested, ["entity", "field"]).select(
-        "entity", "field", "value", F.col("first.service").alias("service"), "n_records",
-        (F.col("value") == F.col("taken")).alias("chosen"))
+    # First whether a field of an entity has several values: most have one, and only the others go on by value.
+    cells = {field.name: f"_{i}" for i, field in enumerate(contract)}
+    matched = staged(matched.select("entity", "service", _rank(priority).alias("rank"),
+                                    *[_text(field).alias(cells[field.name]) for field in contract]), "matched")
+
+    def several(name: str, cell: str) -> Column:
+        best = F.min(F.when(F.col(cell).isNotNull(), F.struct("rank", F.col(cell).alias("value"))))
+        return F.when(F.min(cell) != F.max(cell), F.struct(F.lit(name).alias("field"), best["value"].alias("taken")))
+
+    contested = staged(matched.groupBy("entity").agg(F.array_compact(F.array(*[several(*cell) for cell in cells.items()]))
+                                                     .alias("fields")).where(F.size("fields") > 0), "contested")
+    value = F.coalesce(*[F.when(F.col("contest.field") == name, F.col(cell)) for name, cell in cells.items()])
+    return (matched.join(contested, "entity").select("*", F.explode("fields").alias("contest"))
+            .select("entity", "contest.field", value.alias("value"), "contest.taken", "rank", "service").where("value IS NOT NULL")
+            .groupBy("entity", "field", "value")
+            .agg(F.min(F.struct("rank", "service"))["service"].alias("service"), F.count("*").alias("n_records"),
+                 F.min("taken").alias("taken"))
+            .select("entity", "field", "value", "service", "n_records", (F.col("value") == F.col("taken")).alias("chosen")))

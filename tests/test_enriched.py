@@ -270,3 +270,7 @@ def test_identifiers_of_one_record_and_agreeing_fields_are_not_moved(spark, monk
     assert [tuple(r) for r in merge.identities(records).collect()] == [("doi:10.1/b", "doi:10.1/a")]
     matched = merge.with_entity(records)
     assert matched.where("entity = 'doi:10.1/a'").count() == 3 and matched.count() == 1_003
+    sizes = rows_written(monkeypatch, merge)
+    assert sorted((r["field"], r["value"], r["service"], r["n_records"], r["chosen"]) for r in merge.conflicts(matched).collect()) == [
+        ("doi", "10.1/a", "openalex", 2, True), ("doi", "10.1/b", "semantic_scholar", 1, False)]
+    assert sizes == [1_003, 1]  # records, entities with a conflict; before, all 1,508 values were written

@@ -303,3 +303,18 @@ def test_results_do_not_depend_on_partitions(spark, sf_dir, parts):
     totals = first.agg(F.sum("l_partkey"), F.sum("l_suppkey"), F.sum("l_linenumber")).first()
     plain = lines.groupBy("l_orderkey").agg(F.min(F.struct(*order)).alias("r"))
     assert totals == plain.agg(F.sum("r.l_partkey"), F.sum("r.l_suppkey"), F.sum("r.l_linenumber")).first()
+
+
+def test_lookup_moves_few_of_the_rows_it_leaves_out(spark):
+    works = spark.range(50_000).select(F.when(F.col("id") % 7 != 3, F.concat(F.lit("W"), "id")).alias("id_OpenAlex"), "id")
+    keys = spark.range(0, 50_000, 10).select(F.concat(F.lit("W"), "id").alias("key"))
+    # Before, there was no such step: a lookup shuffled all rows, wide ones too.
+    likely = graph.likely_among(works, "id_OpenAlex", keys, "key")
+    assert likely.count() < 10_000
+    wanted = {(f"W{i}", i) for i in range(0, 50_000, 10) if i % 7 != 3}
+    assert wanted <= {tuple(r) for r in likely.collect()}
+    assert {tuple(r) for r in graph.lookup(works.union(works), keys, ids_column="key").collect()} == wanted
+    assert graph.lookup(works.union(works), keys, ids_column="key").count() == 2 * len(wanted)
+    assert graph.lookup(works, keys.limit(0), ids_column="key").count() == 0
+    plan = graph.lookup(works, keys, ids_column="key")._jdf.queryExecution().optimizedPlan().toString()
+    assert "bitmap_construct_agg" in plan

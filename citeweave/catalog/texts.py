@@ -9,7 +9,7 @@ from citeweave.catalog.standins import doi, orders, with_documents, work_id
 from citeweave.functions import abstracts, embedding, ids, text
 from citeweave.plans import features as plan
 from citeweave.session import ship_package
-from citeweave.sources.tables import sort_by_id
+from citeweave.sources.tables import sort_by_id, spread
 
 CLEANED = r"trim(regexp_replace(translate(lower({0}), '()[]{{}}', '      '), '\s+', ' ', 'g'))"
 
@@ -34,7 +34,7 @@ def title_abstract(spark, sf_dir):
 
 @query("SELECT doc_id, text AS abstract_text FROM documents")
 def deinvert_abstract(spark, sf_dir):
-    indexed = documents(spark, sf_dir).select(
+    indexed = spread(documents(spark, sf_dir).select("doc_id", "text")).select(
         "doc_id", abstracts.invert_text(F.col("text")).alias("abstract_inverted_index"))
     return indexed.select("doc_id", abstracts.deinvert_abstract(
         F.col("abstract_inverted_index")).alias("abstract_text"))

@@ -282,3 +282,15 @@ def test_texts_are_joined_after_the_rows_are_dealt_out(spark):
     below = plan[plan.index("rangepartitioning(id_OpenAlex"):]
     assert "title_abstract" not in below and "rangepartitioning" in plan
     assert tasks_for(works, 1) == 1 and tasks_for(works.union(works).union(works), 2) == 2
+
+
+def test_costly_rows_of_one_file_are_spread(spark, tmp_path):
+    spark.range(4_000).selectExpr(
+        "id AS doc_id", "concat_ws(' ', transform(sequence(1, 400), i -> left(md5(concat(id, '-', i)), 6))) AS text"
+    ).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    whole = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    with_rows = lambda frame: sum(n > 0 for n in frame.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect())
+    assert with_rows(whole) == 1
+    assert with_rows(tables.spread(whole)) > 1
+    # Before, all texts were inverted and read back in one task.
+    assert with_rows(REGISTRY["deinvert_abstract"].run(spark, str(tmp_path))) > 1

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from citeweave.functions.embedding import attach_vectors
 from citeweave.operators import describe, graph, rows, search, yearly
-from citeweave.plans.acquire import acquire
+from citeweave.plans.acquire import acquire, expand
 from citeweave.schemas import WORK_JSON
 
 
@@ -318,3 +318,14 @@ def test_lookup_moves_few_of_the_rows_it_leaves_out(spark):
     assert graph.lookup(works, keys.limit(0), ids_column="key").count() == 0
     plan = graph.lookup(works, keys, ids_column="key")._jdf.queryExecution().optimizedPlan().toString()
     assert "bitmap_construct_agg" in plan
+
+
+def test_expansion_shuffles_flat_records(spark):
+    records = [(f"W{i}", [f"W{i + 1}"], {"b": [1], "a": [0]}) for i in range(5)]
+    snapshot = spark.createDataFrame(records, "id string, referenced_works array<string>, abstract_inverted_index map<string,array<int>>")
+    seed = spark.createDataFrame([("W0",)], "id_OpenAlex string")
+    found = expand(snapshot, seed, hops=2, fields=["abstract_inverted_index"])
+    assert sorted(map(tuple, found.collect())) == [("a b", 1), ("a b", 2)]
+    # Before, all records went into the join, and with their inverted indexes.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "bitmap_construct_agg" in plan and plan.index("Join Inner") < plan.index("map_entries")

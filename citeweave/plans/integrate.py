@@ -8,13 +8,14 @@ from pyspark.sql import types as T
 
 from citeweave.operators.rows import drop_null_key, keep_first, observed, write_counts
 from citeweave.schemas import INTEGRATED_WORK, RAW_WORK
-from citeweave.sources.landing import ORIGIN, bad_cells, journal_folders, read_text_cells, type_cells
+from citeweave.sources.landing import bad_cells, journal_folders, number_files, read_text_cells, type_cells
 from citeweave.sources.tables import write_table
 
 
 def integrate(landed: DataFrame, key: str = "id_OpenAlex") -> DataFrame:
     """Rows with a key, the first copy of each: main, then citing, then referenced works."""
-    return keep_first(drop_null_key(landed, key), key, ORIGIN).drop(*ORIGIN)
+    numbered, order = number_files(drop_null_key(landed, key))
+    return keep_first(numbered, key, order).drop(*order)
 
 
 def integrate_journal(spark: SparkSession, landing_root: str, journal: str, out_root: str,

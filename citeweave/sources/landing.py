@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Iterable, Sequence
 from functools import reduce
@@ -141,6 +142,23 @@ def read_landing(spark: SparkSession, folders: Sequence[str], contract: T.Struct
     return type_cells(read_text_cells(spark, folders, multi_line=multi_line), contract)
 
 
+def number_files(landed: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``landed`` with a file's place among all files instead of its path, and the columns that order the rows.
+
+    The order is that of :data:`ORIGIN`.  A path is longer than most other cells of a row, and a sort
+    would hold it once for each row.  Rows that are in no file keep the path they have.
+    """
+    # Rows name a local path with one slash; texts are compared by their bytes, as Spark does.
+    paths = sorted({re.sub("^file:/+", "file:/", path) for path in landed.inputFiles()}, key=str.encode)
+    if not paths:
+        return landed, list(ORIGIN)
+    files = landed.sparkSession.createDataFrame(list(enumerate(paths)), "origin_number int, origin_path string")
+    # One row per landed file, a list that Spark itself plans the reading with.
+    known = landed.join(F.broadcast(files), F.col("origin_file") == F.col("origin_path"), "left")
+    return (known.withColumn("origin_file", F.when(F.col("origin_number").isNull(), F.col("origin_file"))).drop("origin_path"),
+            [part for name in ORIGIN for part in (["origin_number", name] if name == "origin_file" else [name])])
+
+
 def journal_folders(root: str, journal: str) -> list[str]:
     return [f"{root}/{journal}/{sub}".rstrip("/") for sub in SUBFOLDERS]
 

@@ -14,7 +14,7 @@ from citeweave.catalog import REGISTRY
 from citeweave.functions.embedding import HashingEncoder
 from citeweave.plans.describe import DESCRIBED, describe
 from citeweave.plans.features import feature_journal, sorted_features, tasks_for
-from citeweave.plans.integrate import integrate_journal
+from citeweave.plans.integrate import integrate, integrate_journal
 from citeweave.schemas import FEATURE_WORK
 from citeweave.session import fresh_path, ship_package, work_root
 from citeweave.sources import landing, pages, tables, works_json
@@ -294,3 +294,31 @@ def test_costly_rows_of_one_file_are_spread(spark, tmp_path):
     assert with_rows(tables.spread(whole)) > 1
     # Before, all texts were inverted and read back in one task.
     assert with_rows(REGISTRY["deinvert_abstract"].run(spark, str(tmp_path))) > 1
+
+
+def test_files_are_sorted_by_number(spark, tmp_path):
+    """A sort holds a file's number for each row, not its path; rows keep the order of paths."""
+    folder = tmp_path / "a b%20ü"
+    for place, name in enumerate(["z.csv", "Ä+1.csv", "a%41.csv", "a .csv", "\U0001f600.csv", "\uffee.csv"]):
+        put(folder, name, f"W1,{place}", f"W{place + 2},{place}", ",9", header="id_OpenAlex,citation_count_OpenAlex")
+        os.utime(folder / name, (1_700_000_000, 1_700_000_000))
+    landed = landing.read_landing(spark, [str(folder)])
+    numbered, order = landing.number_files(landed)
+    assert numbered.where("origin_number IS NULL OR origin_file IS NOT NULL").count() == 0
+    by_path, by_number = (frame.orderBy(*columns).select("id_OpenAlex", "citation_count_OpenAlex").collect()
+                          for frame, columns in ((landed, landing.ORIGIN), (numbered, order)))
+    assert by_path == by_number and len(by_path) == 18
+    first = next(r["citation_count_OpenAlex"] for r in by_path if r["id_OpenAlex"] == "W1")
+    kept = integrate(landed)
+    assert not [name for name in kept.columns if name.startswith("origin")]
+    assert rows_of(kept, "id_OpenAlex", "citation_count_OpenAlex") == [
+        ("W1", first), *[(f"W{place + 2}", place) for place in range(6)]]
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    sort = next(line for line in plan.splitlines() if "Sort [" in line)
+    assert "origin_number" in sort  # before, the path alone told files apart
+    # Rows of no file keep their order too.
+    loose = spark.createDataFrame([("W1", 1, 0, "b"), ("W1", 2, 0, "a")], "id_OpenAlex string, n int, origin_rank int, origin_file string")
+    for name in landing.ORIGIN:
+        if name not in loose.columns:
+            loose = loose.withColumn(name, F.lit(0))
+    assert rows_of(integrate(loose), "id_OpenAlex", "n") == [("W1", 2)]

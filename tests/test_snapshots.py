@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from citeweave.operators import describe, rows
 from citeweave.operators.search import journals_not_found
-from citeweave.operators.topics import find_topics
+from citeweave.operators.topics import find_topics, frequent_words
 from citeweave.sources import snapshot, works_json
 
 
@@ -85,6 +85,28 @@ def test_planted_topics_are_found(spark):
     assert none.terms.count() == 0 and none.works.where("topic IS NULL").count() == 3
 
 
+def test_equally_frequent_words_keep_their_order(spark):
+    """Topics follow the numbers of words; before, words that occur equally often came in any order."""
+    words = [f"word{chr(97 + i // 20)}{chr(97 + i % 20)}" for i in range(200)]
+    for seed in range(3):
+        mixed = random.Random(seed).sample(words, len(words))
+        rows_of_words = [(mixed[:120] + ["top"],), (mixed[80:] + ["top", "rare", "rare", "rare"],), (mixed,), ([],)]
+        split = spark.createDataFrame(rows_of_words, "_words array<string>").repartition(seed + 1)
+        assert frequent_words(split.where("size(_words) = 200 OR size(_words) = 0").union(split.where("size(_words) = 200")),
+                              500, 2) == words
+        found = frequent_words(split, 20, 2)
+        assert found == sorted(mixed[80:120])[:20]  # three times each; "rare" too, but in one work
+        assert frequent_words(split, 500, 4) == []
+    # Nor do topics follow the files or the order that works come in, as samples did before.
+    draw = random.Random(5)
+    works = spark.createDataFrame([(i, " ".join(draw.choices(words[i % 2 * 100:][:100], k=30))) for i in range(80)], "id int, text string")
+    one, other = ({r["id"]: r["topic"] for r in find_topics(frame, "text", topics=2, iterations=5).works.collect()}
+                  for frame in (works.coalesce(1).sortWithinPartitions("id"), works.repartition(5)))
+    assert one == other and len(one) == 80
+    none = find_topics(spark.createDataFrame([(1, "alone here"), (2, "other words")], "id int, title_abstract string"))
+    assert none.terms.count() == 0 and none.works.where("topic IS NULL").count() == 2
+
+
 def test_counts_are_taken_on_the_way(spark, tmp_path):
     frame, seen = rows.observed(spark.range(10), n=F.count("*"), big=F.count_if(F.col("id") > 6))
     frame.write.parquet(f"{tmp_path}/out")

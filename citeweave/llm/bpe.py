@@ -73,7 +73,7 @@ class WordSplitter:
 
 
 # Entries that a task encodes at a time.
-ENCODED_ROWS = 20_000
+ENCODED_ROWS = 5_000
 _IDS_ARROW = pa.schema([("block", pa.int64()), ("pos", pa.int32()), ("ids", pa.binary())])
 
 

@@ -175,6 +175,154 @@ def test_scores_against_brute_force(spark):
     assert alone.train_tokens == 0 and alone.n_known == 0
 
 
+def varied(n=60, seed=5):
+    """Documents of words that seldom meet twice, and copies of some of them."""
+    rng = random.Random(seed)
+    docs = [(i, " ".join(f"v{rng.randrange(4000)}" for _ in range(rng.randint(40, 120)))) for i in range(n)]
+    return docs, [(1000 + i, text) for i, text in docs[:20]]
+
+
+def test_documents_that_occur_again_are_scored_apart(spark):
+    def learned(i):
+        return zlib.crc32(str(i).encode()) % 5 != 1
+
+    docs, copies = varied()
+    frame = spark.createDataFrame(docs + copies, "doc_id bigint, text string")
+    bits = {r.doc_id: r.bits_per_byte for r in score_documents(frame).collect()}
+    twin = {i: i + 1000 if i < 20 else i - 1000 for i in [*range(20), *range(1000, 1020)]}
+    again = {i for i, other in twin.items() if learned(other)}
+    assert len(again) > 20 and any(not learned(i) for i in again) and any(learned(i) for i in again)
+    assert max(bits[i] for i in again) < 0.5 * min(bits[i] for i in bits if i not in again)
+    # Documents and their blocks may lie in any order.
+    other = {r.doc_id: r.bits_per_byte for r in score_documents(
+        spark.createDataFrame((copies + docs)[::-1], frame.schema).repartition(3), block_bytes=3_000).collect()}
+    assert other == pytest.approx(bits, rel=1e-4)
+    # A document that occurs once owes nothing to itself: the same as if it had not been learned from.
+    alone = score_documents(spark.createDataFrame(docs[20:], frame.schema)).collect()
+    assert min(r.bits_per_byte for r in alone) > 0.5
+
+
+def test_texts_without_words_have_scores(spark):
+    frame = spark.createDataFrame([(1, ""), (2, None), (None, " "), (7, "")], "doc_id bigint, text string")
+    found = score_documents(frame, block_bytes=1).collect()
+    assert len(found) == 4 and all(r.n_tokens == 1 and math.isfinite(r.score) for r in found)
+
+
+def test_counts_of_word_contexts():
+    import pyarrow as pa
+
+    from citeweave.llm import word_contexts as wc
+
+    rng = np.random.default_rng(3)
+    docs = [rng.integers(0, 6, rng.integers(0, 30)).tolist() for _ in range(50)]
+    docs += [docs[3], docs[3], [0] * 300]
+    learns = rng.random(len(docs)) < 0.7
+    hashes = rng.integers(0, 1 << 48, 6).astype(np.uint64)
+    cut, bits, piece_bits = 20, *wc.sizes(10_000)
+    blocks = [wc.Tokens(np.array([len(d) for d in docs[part]]), np.concatenate([np.array(d, dtype=np.int32) for d in docs[part]]),
+                        hashes, learns[part]) for part in (slice(0, cut), slice(cut, None))]
+    pieces = pa.Table.from_batches([batch for i, block in enumerate(blocks)
+                                    for batch in wc.pieces_of(i, block, bits, piece_bits)])
+    keys = pieces.column("piece").to_numpy()
+    sums = pa.concat_tables([wc.sum_piece(bits - piece_bits)((key,), pieces.take(np.flatnonzero(keys == key)))
+                             for key in np.unique(keys)])
+
+    def grams(words, order):
+        ended = ["end"] * 2 + words + ["end"]
+        return [tuple(ended[i - order:i + 1]) for i in range(2, len(ended))]
+
+    documents = int(learns.sum())
+    words = Counter(w for d, known in zip(docs, learns, strict=True) if known for w in d)
+    of = {order: Counter(g for d, known in zip(docs, learns, strict=True) if known for g in grams(d, order))
+          for order in (0, 1, 2)}
+    for i, (block, part) in enumerate(zip(blocks, (docs[:cut], docs[cut:]), strict=True)):
+        own = sums.take(np.flatnonzero(sums.column("block").to_numpy() == i))
+        found = list(wc.counts_of_others(block, own, np.array([words[w] for w in range(6)]), documents, bits, piece_bits))
+        for order, (context, follow) in zip(wc.ORDERS, found, strict=True):
+            expected = []
+            for d, known in zip(part, learns[:cut] if i == 0 else learns[cut:], strict=True):
+                mine = {k: Counter(grams(d, k)) if known else Counter() for k in of}
+                for at, gram in enumerate(grams(d, order)):
+                    before = of[order - 1][gram[:-1]] - mine[order - 1][gram[:-1]]
+                    if at == 0:  # nothing stands before the first word
+                        before = documents - bool(known) if order == 1 else 0
+                    expected.append((before, min(before, of[order][gram] - mine[order][gram])))
+            assert list(zip(context.tolist(), follow.tolist(), strict=True)) == expected
+
+
+def test_numbers_and_word_hashes_come_back():
+    from citeweave.llm import word_contexts as wc
+
+    for values in ([], [0], [255, 256, 0, 1 << 40], [(1 << 56) + 7, 3]):
+        assert wc.unpack(wc.pack(np.array(values, dtype=np.int64))).tolist() == values
+    assert wc.unpack_words(wc.pack_words(np.array([-1, 5], dtype=np.int64))).tolist() == [(1 << 48) - 1, 5]
+    keys = np.array([5, 1, 5, 0, 1, 5], dtype=np.uint64)
+    for bits in (3, 62):  # sorted together with the position, and apart from it
+        order, first, distinct = wc.grouped(keys, bits)
+        assert (order.tolist(), first.tolist(), distinct.tolist()) == ([3, 1, 4, 0, 2, 5], [0, 1, 3], [0, 1, 5])
+
+
+def test_gates_against_plain_loops():
+    from citeweave.llm import lm_scoring as lm
+
+    rng = np.random.default_rng(8)
+    n, step = 3 * lm.CHUNK, lm.CHUNK
+    low = np.log(rng.random(n) * 0.01 + 1e-6)
+    contexts = [rng.choice([0, 1, 3, 9, 100, 5000], n) for _ in range(2)]
+    counts = [(c, (c * rng.random(n) * (rng.random(n) < 0.6)).astype(np.int64)) for c in contexts]
+    followed = lm._Followed(counts, np.array([0]))
+    gates = lm._Gates(1)
+    found = np.concatenate([gates.refined(low[s:s + step], np.zeros(step, dtype=np.int64), [x[s:s + step] for x in followed.share],
+                                          [x[s:s + step] for x in followed.gate]) for s in range(0, n, step)])
+    weights, shared = lm.START_GATES.astype(float), np.zeros(2)
+    expected = []
+    for s in range(0, n, step):
+        change, change_shared = np.zeros_like(weights), np.zeros(2)
+        for t in range(s, s + step):
+            p, used = math.exp(low[t]), []
+            for k, (context, follow) in enumerate(counts):
+                if not context[t]:
+                    continue
+                size = sum(context[t] >= least for least in lm.GATE_COUNTS)
+                gate = 3 * size + sum(t - back >= 0 and follow[t - back] > 0 for back in (1, 2))
+                belief = 1 / (1 + math.exp(-(weights[k, gate] + shared[k])))
+                inner = belief * follow[t] / context[t]
+                p = inner + (1 - belief) * p
+                used.append((k, gate, belief, inner / p))
+            left = 1.0
+            for k, gate, belief, due in reversed(used):
+                change[k, gate] += lm.GATE_RATE * left * (due - belief)
+                change_shared[k] += lm.GATE_RATE * left * (due - belief)
+                left *= 1 - due
+            expected.append(math.log(p))
+        weights, shared = weights + change, shared + change_shared
+    assert found.tolist() == pytest.approx(expected, rel=1e-4)
+
+
+def test_refined_probabilities_sum_to_one():
+    from citeweave.llm.lm_scoring import START_GATES, _Gates
+
+    rng = np.random.default_rng(2)
+    low, *shares = (x / x.sum() for x in rng.random((3, 500)))
+    for gate in range(START_GATES.shape[1]):
+        own = np.full(500, gate, dtype=np.int8)
+        done = _Gates(500).refined(np.log(low), np.arange(500), shares, [own, own])
+        assert np.exp(done).sum() == pytest.approx(1, abs=1e-5)
+
+
+def test_words_and_codes_from_one_reading(spark):
+    from citeweave.llm import blocks
+    from citeweave.llm.common import id_and_text
+    from citeweave.llm.lm_scoring import learned, words_of
+
+    texts = id_and_text(odd_docs(spark))
+    both = blocks.coded_with_words(texts, words_of, learned, 2_000)
+    assert sorted(map(str, both.where("codes is not null").select("block", "doc_ids", "n_words", "n_bytes", "codes").collect())) == \
+        sorted(map(str, blocks.coded(texts, words_of, 2_000).collect()))
+    assert sorted(map(str, both.where("word is not null").select("block", "pos", "word", "n_learned").collect())) == \
+        sorted(map(str, blocks.dictionaries(texts, words_of, learned, 2_000).drop("n").collect()))
+
+
 def test_symbol_probabilities_sum_to_one():
     from citeweave.llm.lm_scoring import _CELLS, MixingModel
 

@@ -112,6 +112,20 @@ def test_staged_tables_go_to_the_shared_folder(spark):
     assert fresh_path(spark, "a") != fresh_path(spark, "a")
 
 
+def test_tidy_staged_tables_hold_the_same_and_can_be_discarded(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    frame = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    staged = tables.staged(frame, "tidy", tidy=True)
+    assert sorted(staged.collect()) == sorted(frame.collect())
+    assert staged.schema.simpleString() == frame.schema.simpleString()
+    assert spark.conf.get(name, None) == before
+    folder = Path(staged.inputFiles()[0].removeprefix("file://")).parent
+    other = tables.staged(spark.range(3), "kept")
+    tables.discard(staged)
+    assert not folder.exists() and other.count() == 3
+
+
 def test_pages(spark):
     def bodies(*texts):
         return spark.createDataFrame(list(enumerate(texts)), "page_no int, body string")
